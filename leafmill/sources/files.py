@@ -15,7 +15,11 @@ def read_files(
         reader = reader.option("pathGlobFilter", pattern)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(root)
+    return described(reader.load(root), root)
+
+
+def described(files: DataFrame, root: str) -> DataFrame:
+    """Name files by their path below ``root`` and tell their type."""
     return files.select(
         relative_name(F.col("path"), root).alias("document_name"),
         X.document_type(F.col("path")).alias("document_type"),
