@@ -51,10 +51,16 @@ def postings(index: DataFrame, key: str = "chunk_id", text: str = "chunk_text")
 
     The terms of a row leave one task, where they are counted before they are shuffled.
     """
+    return _token_rows(index, text, key).groupBy(key, "term", "length").agg(
+        F.count("*").alias("frequency")).select("term", key, "frequency", "length")
+
+
+def _token_rows(index: DataFrame, text: str, *columns) -> DataFrame:
+    """One row per token. The length is taken first, or it would be found anew for every token."""
     found = X.tokens(F.col(text))
-    rows = index.select(key, F.size(found).alias("length"), F.explode(found).alias("term"))
-    return rows.groupBy(key, "term", "length").agg(F.count("*").alias("frequency")).select(
-        "term", key, "frequency", "length")
+    rows = index.select(*columns, found.alias("_tokens"), F.size(found).alias("length"))
+    return rows.select(
+        *[c for c in rows.columns if c != "_tokens"], F.explode("_tokens").alias("term"))
 
 
 def corpus_size(index: DataFrame, text: str = "chunk_text") -> DataFrame:
@@ -81,11 +87,7 @@ def keyword_contributions(
     asked = query_terms(queries)
     terms = asked.select("term").distinct()
     if stored is None:
-        found = X.tokens(F.col(text))
-        rows = index.select(
-            key, matches(filters).alias("_kept"), F.size(found).alias("length"),
-            F.explode(found).alias("term"),
-        )
+        rows = _token_rows(index, text, key, matches(filters).alias("_kept"))
         # Only tokens that some query asks for are counted and shuffled.
         listed = rows.join(terms, "term", "left_semi").groupBy(
             key, "term", "length", "_kept").agg(F.count("*").alias("frequency"))

@@ -50,13 +50,14 @@ def split_missing_content(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     return files.filter(F.col("content").isNotNull()), bad
 
 
-def read_chunk_json(spark: SparkSession, path: str) -> DataFrame:
-    """Prepared chunks: JSON arrays over several lines, read with a fixed schema.
+def read_chunk_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Prepared chunks: JSON arrays over several lines, or one chunk per line.
 
-    Inference would turn ``entities`` into a struct of whatever keys occur.
+    The schema is fixed, since inference would turn ``entities`` into a struct of whatever keys
+    occur. Files with one chunk per line can be split among tasks; the others cannot.
     """
     return (
-        spark.read.schema(schema.CHUNKS).option("multiLine", "true")
+        spark.read.schema(schema.CHUNKS).option("multiLine", multi_line)
         .option("pathGlobFilter", "*.json").json(path)
     )
 
