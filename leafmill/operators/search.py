@@ -20,6 +20,8 @@ B = 0.75
 DECIMALS = 9
 # Query vectors that one task holds at once: 8 MB as doubles, of any dimension.
 QUERY_CELLS = 1 << 20
+# Query terms that are broadcast: at most this many bytes, counting 32 for the numbers of each.
+TERM_BYTES = 64 << 20
 
 
 def top_k(hits: DataFrame, k: int, key: str = "chunk_id") -> DataFrame:
@@ -56,11 +58,16 @@ def postings(index: DataFrame, key: str = "chunk_id", text: str = "chunk_text")
 
 
 def _token_rows(index: DataFrame, text: str, *columns) -> DataFrame:
-    """One row per token. The length is taken first, or it would be found anew for every token."""
+    """One row per token, with the token count of its text.
+
+    Texts are split once: the count is taken before the explode, not per token, and the outer
+    form keeps Spark from testing the tokens for emptiness in a filter that splits them again.
+    """
     found = X.tokens(F.col(text))
     rows = index.select(*columns, found.alias("_tokens"), F.size(found).alias("length"))
     return rows.select(
-        *[c for c in rows.columns if c != "_tokens"], F.explode("_tokens").alias("term"))
+        *[c for c in rows.columns if c != "_tokens"], F.explode_outer("_tokens").alias("term")
+    ).filter(F.col("term").isNotNull())
 
 
 def corpus_size(index: DataFrame, text: str = "chunk_text") -> DataFrame:
@@ -82,20 +89,24 @@ def keyword_contributions(
 ) -> DataFrame:
     """BM25 share of each (query, row, term); a term repeated in a query counts each time.
 
-    Corpus statistics cover the whole index; filters only choose which rows may be hits.
+    Corpus statistics cover the whole index; filters only choose which rows may be hits. The
+    terms of the queries are broadcast after their size was taken, and shuffled beyond it.
     """
     asked = query_terms(queries)
     terms = asked.select("term").distinct()
+    bytes_asked = asked.agg(F.sum(F.octet_length("term") + 32)).first()[0] or 0
+    small = F.broadcast if bytes_asked <= TERM_BYTES else lambda df: df
+
     if stored is None:
+        # Only tokens that some query asks for are shuffled. They go by row id alone, which
+        # serves both the counting here and the adding up of scores later.
         rows = _token_rows(index, text, key, matches(filters).alias("_kept"))
-        # Only tokens that some query asks for are counted and shuffled.
-        listed = rows.join(terms, "term", "left_semi").groupBy(
+        listed = rows.join(small(terms), "term", "left_semi").repartition(key).groupBy(
             key, "term", "length", "_kept").agg(F.count("*").alias("frequency"))
     else:
-        listed = stored.join(terms, "term", "left_semi")
+        listed = stored.join(small(terms), "term", "left_semi").repartition(key)
         if filters:
-            listed = listed.join(
-                index.select(key, matches(filters).alias("_kept")), key)
+            listed = listed.join(index.select(key, matches(filters).alias("_kept")), key)
         else:
             listed = listed.withColumn("_kept", F.lit(True))
     size = corpus_size(index, text) if size is None else size
@@ -109,7 +120,7 @@ def keyword_contributions(
     if legacy_factor:
         saturation = saturation * (K1 + 1)
     return (
-        listed.filter(F.coalesce("_kept", F.lit(False))).join(weighted, "term")
+        listed.filter(F.coalesce("_kept", F.lit(False))).join(small(weighted), "term")
         .select("query_id", key, (F.col("weight") * saturation).alias("share"))
     )
 

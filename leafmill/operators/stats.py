@@ -26,6 +26,11 @@ def counted(df: DataFrame, name: str, **conditions) -> tuple[DataFrame, Observat
 
 
 def entity_rows(df: DataFrame, key: str = "chunk_id") -> DataFrame:
-    """The long form of the entity map: one row per value."""
-    kinds = df.select(key, F.explode("entities").alias("entity_type", "values"))
-    return kinds.select(key, "entity_type", F.posexplode("values").alias("pos", "value"))
+    """The long form of the entity map: one row per value.
+
+    The outer explode keeps Spark from inferring a filter that would tag the text once more.
+    """
+    kinds = df.select(key, F.explode_outer("entities").alias("entity_type", "values"))
+    return kinds.select(
+        key, "entity_type", F.posexplode_outer("values").alias("pos", "value")
+    ).filter(F.col("value").isNotNull())

@@ -11,6 +11,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Share a scan of fewer splits than cores among all cores; others are left as they are.
+
+    Meant for small tables before costly expressions. A large table has splits enough.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spread(table(spark, folder, name))
+
+
 def _title(column: str):
     return F.concat(F.upper(F.substring(column, 1, 1)), F.lower(F.substr(column, F.lit(2))))
 
@@ -20,7 +33,7 @@ def order_notes(spark: SparkSession, folder: str) -> DataFrame:
     orders, customer, nation, region = (
         table(spark, folder, t) for t in ("orders", "customer", "nation", "region"))
     joined = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        spread(orders).join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     )
@@ -38,7 +51,7 @@ def order_notes(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_index(spark: SparkSession, folder: str) -> DataFrame:
     """Every document as one searchable row, with its hashed vector."""
-    return table(spark, folder, "documents").select(
+    return texts(spark, folder, "documents").select(
         F.col("doc_id").alias("chunk_id"), F.col("text").alias("chunk_text"), "lang",
         hashing_embedding(F.col("text"), DIMENSION).alias("chunk_embedding"))
 

@@ -79,7 +79,7 @@ def index_chunks(
     if valid < total:
         ready.filter(~good).write.mode("append").parquet(f"{workspace}/quarantine")
     if valid:
-        store.upsert(ready.filter(good), settings.replace_document)
+        store.upsert(ready.filter(good), settings.replace_document, stored=True)
     broken = ready.filter(~good).select("document_name").distinct()
     manifest = f"{workspace}/manifest"
     whole = ready.join(broken, "document_name", "left_anti") if valid < total else ready

@@ -38,11 +38,11 @@ def _chunk_columns(chunks: DataFrame) -> DataFrame:
 
 
 def _line_chunks(spark, folder):
-    return chunk_elements(L.line_elements(C.table(spark, folder, "documents")), 64, 8)
+    return chunk_elements(L.line_elements(C.texts(spark, folder, "documents")), 64, 8)
 
 
 def _turn_chunks(spark, folder):
-    return chunk_elements(L.turn_elements(C.table(spark, folder, "conversations")), 40, 5)
+    return chunk_elements(L.turn_elements(C.texts(spark, folder, "conversations")), 40, 5)
 
 
 def chunk_lines(spark, folder):
@@ -54,7 +54,7 @@ def chunk_turns(spark, folder):
 
 
 def chunk_pages(spark, folder):
-    return _chunk_columns(chunk_elements(L.page_elements(C.table(spark, folder, "pages")), 30, 0))
+    return _chunk_columns(chunk_elements(L.page_elements(C.texts(spark, folder, "pages")), 30, 0))
 
 
 def _element_columns(elements):
@@ -64,17 +64,17 @@ def _element_columns(elements):
 
 
 def page_elements(spark, folder):
-    elements = L.page_elements(C.table(spark, folder, "pages"))
+    elements = L.page_elements(C.texts(spark, folder, "pages"))
     return _element_columns(elements.filter(X.has_text(F.col("text"))))
 
 
 def turn_elements(spark, folder):
-    return _element_columns(L.turn_elements(C.table(spark, folder, "conversations")))
+    return _element_columns(L.turn_elements(C.texts(spark, folder, "conversations")))
 
 
 def parser_hook(spark, folder):
     """The same elements as ``line_elements``, from a user's parser of binary files."""
-    files = C.table(spark, folder, "documents").select(
+    files = C.texts(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("document_name"),
         F.encode("text", "UTF-8").alias("content"))
 
@@ -95,7 +95,7 @@ def sanitize(spark, folder):
     """Documents with control characters and outer white space worked in, cleaned again."""
     dirty = F.concat(
         F.lit("\x07 \t"), F.replace("text", F.lit("e"), F.lit("\x01e\x1f")), F.lit("\x0c\n\x0b "))
-    return C.table(spark, folder, "documents").select(
+    return C.texts(spark, folder, "documents").select(
         "doc_id", X.sanitize_text(dirty).alias("clean"),
         F.char_length(dirty).cast("bigint").alias("before"))
 
@@ -166,7 +166,7 @@ def chunk_stats_total(spark, folder):
 
 def hash_embed(spark, folder):
     entries = C.document_index(spark, folder).select(
-        F.col("chunk_id").alias("doc_id"), F.posexplode("chunk_embedding").alias("bucket", "weight"))
+        F.col("chunk_id").alias("doc_id"), F.posexplode_outer("chunk_embedding").alias("bucket", "weight"))
     return entries.filter("weight != 0").select(
         "doc_id", F.col("bucket").cast("bigint").alias("bucket"),
         F.round(F.col("weight").cast("double"), 4).alias("weight"))
@@ -178,7 +178,7 @@ def provider_embed(spark, folder):
         return lambda texts: [[float(len(t)), float(t.count("\n"))] for t in texts]
 
     vector = M.provider_embedding(F.col("text"), "length-and-lines", build)
-    return C.table(spark, folder, "documents").select("doc_id", vector.alias("v")).select(
+    return C.texts(spark, folder, "documents").select("doc_id", vector.alias("v")).select(
         "doc_id", F.col("v")[0].cast("bigint").alias("length"),
         F.col("v")[1].cast("bigint").alias("breaks"))
 
@@ -313,7 +313,7 @@ def ingest_conversations(spark, folder):
     """The whole chain into a new store, run twice as after a lost commit, then read back."""
     work = shared_folder(spark)
     store = ChunkStore(spark, f"{work}/index", buckets=8)
-    elements = L.turn_elements(C.table(spark, folder, "conversations"))
+    elements = L.turn_elements(C.texts(spark, folder, "conversations"))
     settings = Settings(size=40, overlap=5, id_mode="stem")
     for batch in ("first", "second"):
         ingest_elements(elements, store, work, batch, RUN, settings)

@@ -4,7 +4,7 @@ Rows are spread over buckets by the document part of their id. A write produces
 the buckets it touches and then one small commit naming the current version of every bucket, so
 a reader sees the table before or after a write and a failed write leaves no trace in it.
 
-    <root>/incoming/version=<n>/   the batch, written once and read for the steps below
+    <root>/incoming/version=<n>/   a batch that was not stored yet
     <root>/data/version=<n>/bucket=<b>/
     <root>/commits/version=<n>/    valid once complete; one writer at a time
 """
@@ -158,19 +158,22 @@ class ChunkStore:
 
     def upsert(
         self, chunks: DataFrame, replace_document: bool = False,
-        order_by: list[str] = ("processed_at",),
+        order_by: list[str] = ("processed_at",), stored: bool = False,
     ) -> int:
         """Insert rows or replace those with the same id; returns the committed version.
 
         ``replace_document`` also removes every older chunk of the documents in the batch.
+        ``stored`` says that ``chunks`` is read from files; else they are written first, since
+        they are used several times and may be costly to compute.
         """
         self.create()
         version = self._next_version()
-        path = f"{self.root}/incoming/version={version}"
         chunks = schema.conform(chunks, schema.CHUNKS)
-        last_per_key(chunks, "chunk_id", order_by).write.parquet(path)
-        incoming = self.spark.read.schema(schema.CHUNKS).parquet(path).withColumn(
-            "bucket", self._bucket())
+        if not stored:
+            path = f"{self.root}/incoming/version={version}"
+            chunks.write.parquet(path)
+            chunks = self.spark.read.schema(schema.CHUNKS).parquet(path)
+        incoming = chunks.withColumn("bucket", self._bucket())
         current = self._current()
         touched = self._buckets_of(incoming)
         if not touched:
@@ -181,7 +184,8 @@ class ChunkStore:
         old = self._read(current, touched)
         if replace_document:
             old = without_documents(old, names)
-        self._replace(version, merge_rows(old, incoming), touched)
+        new = last_per_key(incoming, "chunk_id", order_by)
+        self._replace(version, merge_rows(old, new), touched)
         return version
 
     def delete_documents(self, names: DataFrame) -> int:
