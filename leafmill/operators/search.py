@@ -9,7 +9,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from leafmill.functions import text as X
 
@@ -42,6 +42,14 @@ def top_k(hits: DataFrame, k: int, key: str = "chunk_id") -> DataFrame:
     return best(hits, "query_id").select("query_id", key, "score", "rank")
 
 
+def query_frame(
+    spark: SparkSession, text: str | None = None, vector: list[float] | None = None
+) -> DataFrame:
+    """A single query, number 1."""
+    return spark.createDataFrame(
+        [(1, text, vector)], "query_id int, query_text string, query_vector array<double>")
+
+
 def matches(filters: dict | None) -> Column:
     """All ``field = value`` conditions at once; true without any."""
     return reduce(
@@ -145,28 +153,27 @@ class _Best:
 
     def __init__(self, matrix: np.ndarray, k: int, min_score: float | None):
         self.unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        self.k, self.min_score = k, min_score
+        self.k = k
+        self.least = np.full(len(matrix), -np.inf if min_score is None else min_score)
         self.kept = [(np.empty(0), np.empty(0, object)) for _ in matrix]
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         norms = np.linalg.norm(vectors, axis=1)
         ids, vectors, norms = ids[norms > 0], vectors[norms > 0], norms[norms > 0]
         scores = np.round((1 + (vectors / norms[:, None]) @ self.unit.T) / 2, DECIMALS)
-        for q, (old, old_ids) in enumerate(self.kept):
-            found = scores[:, q]
-            least = old[-1] if len(old) == self.k else -np.inf
-            if self.min_score is not None:
-                least = max(least, self.min_score)
-            near = np.flatnonzero(found >= least)
-            if not len(near):
-                continue
-            merged = np.concatenate([old, found[near]])
-            merged_ids = np.concatenate([old_ids, ids[near]])
+        near = scores >= self.least
+        # After the first batches few queries see a better row.
+        for q in np.flatnonzero(near.any(axis=0)):
+            rows = np.flatnonzero(near[:, q])
+            merged = np.concatenate([self.kept[q][0], scores[rows, q]])
+            merged_ids = np.concatenate([self.kept[q][1], ids[rows]])
             if len(merged) > self.k:
                 edge = np.partition(merged, -self.k)[-self.k]
                 merged, merged_ids = merged[merged >= edge], merged_ids[merged >= edge]
             order = np.lexsort((merged_ids, -merged))[:self.k]
             self.kept[q] = merged[order], merged_ids[order]
+            if len(order) == self.k:
+                self.least[q] = max(self.least[q], merged[order[-1]])
 
 
 def _matrix(column: pa.Array, dimension: int) -> np.ndarray:
