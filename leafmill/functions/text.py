@@ -6,6 +6,8 @@ from pyspark.sql import Column, functions as F
 SPACE = r"[\s\x1C-\x1F]"
 WORD = r"(?U)[^\s\x1C-\x1F]+"
 TOKEN = r"[\p{L}\p{N}]+"
+# White space other than the blank.
+UNUSUAL_SPACE = r"(?U)[\s\x1C-\x1F&&[^ ]]"
 
 # File suffix -> document type.
 DOCUMENT_TYPES = {
@@ -29,7 +31,12 @@ def words(text: Column) -> Column:
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD))
+    """Number of words. Where single blanks separate them, blanks are counted instead, which
+    is faster than matching each word."""
+    inner = F.trim(text)
+    blanks = F.octet_length(inner) - F.octet_length(F.replace(inner, F.lit(" "), F.lit("")))
+    uneven = (inner == "") | inner.contains("  ") | inner.rlike(UNUSUAL_SPACE)
+    return F.when(uneven, F.regexp_count(text, F.lit(WORD))).otherwise(blanks + 1)
 
 
 def last_words(text: Column, n: int) -> Column:

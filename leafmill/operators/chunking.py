@@ -127,6 +127,12 @@ def _chunk_parts(blocks: DataFrame, size: int, overlap: int, entry: dict[str, Co
             p.page.alias("page_number"),
             p.section.alias("section_title"),
             F.array_join(texts, " ").alias("chunk_text"),
+            # Known from the elements, so the joined text is not split again.
+            F.aggregate(
+                inner,
+                F.when(p.tail > 0, F.least(tail.n_words, F.lit(max(overlap, 0)))).otherwise(0),
+                lambda n, e: n + e.n_words,
+            ).alias("word_count"),
             F.array_distinct(types).alias("element_types"),
         )
 
@@ -135,7 +141,7 @@ def _chunk_parts(blocks: DataFrame, size: int, overlap: int, entry: dict[str, Co
 
 def _merge_parts(parts: DataFrame) -> DataFrame:
     """Chunks from parts. A part holds a word or more, so a chunk has at most ``size`` of them."""
-    fields = ["page_number", "section_title", "chunk_text", "element_types"]
+    fields = ["page_number", "section_title", "chunk_text", "word_count", "element_types"]
     merged = parts.groupBy("document_name", "chunk_index").agg(
         F.sort_array(F.collect_list(F.struct("block", *fields))).alias("parts")
     )
@@ -146,13 +152,14 @@ def _merge_parts(parts: DataFrame) -> DataFrame:
         last.page_number.alias("page_number"),
         last.section_title.alias("section_title"),
         F.array_join(F.transform("parts", lambda p: p.chunk_text), " ").alias("chunk_text"),
+        F.aggregate("parts", F.lit(0), lambda n, p: n + p.word_count).alias("word_count"),
         F.array_distinct(F.flatten(F.transform("parts", lambda p: p.element_types)))
         .alias("element_types"),
     )
 
 
 def describe_chunks(chunks: DataFrame, id_mode: str = "stem") -> DataFrame:
-    """Add id, counts and flags to chunks that carry text, page, section, index and types."""
+    """Add id, length and flags to chunks that carry text, words, page, section, index and types."""
     name, text, types = F.col("document_name"), F.col("chunk_text"), F.col("element_types")
     index, page = F.col("chunk_index"), F.col("page_number")
     if id_mode == "md5":
@@ -174,7 +181,7 @@ def describe_chunks(chunks: DataFrame, id_mode: str = "stem") -> DataFrame:
         "page_number",
         F.coalesce(F.nullif(F.col("section_title"), F.lit("")), F.lit("Unknown")).alias("section_title"),
         "chunk_index",
-        X.word_count(text).alias("word_count"),
+        "word_count",
         F.char_length(text).alias("char_count"),
         flag(TABLES).alias("has_table"),
         flag(IMAGES).alias("has_image"),
@@ -206,6 +213,6 @@ def chunk_elements(
         {name: F.col(f"entry_{name}") for name in fresh},
     )
     columns = ["document_name", "chunk_index", "page_number", "section_title", "chunk_text",
-               "element_types"]
+               "word_count", "element_types"]
     chunks = alone.select(columns).unionByName(_merge_parts(spanning).select(columns))
     return describe_chunks(chunks, id_mode)

@@ -129,7 +129,10 @@ def ingest_files(
         files, missing = files_of.split_missing_content(files)
         rejected = unsupported.unionByName(missing)
         rejected.write.mode("append").json(f"{workspace}/rejected_files")
-    elements = elements_of.to_elements(files, settings.parsers)
+    # Stored, so that files are read and parsed once however often chunking looks at them.
+    path = f"{workspace}/elements/{batch_id}"
+    elements_of.to_elements(files, settings.parsers).write.mode("overwrite").parquet(path)
+    elements = spark.read.schema(schema.ELEMENTS).parquet(path)
     return ingest_elements(elements, store, workspace, batch_id, run_ts, settings)
 
 

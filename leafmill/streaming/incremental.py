@@ -5,6 +5,7 @@ from datetime import datetime, timezone
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from leafmill import schema
 from leafmill.plans.ingest import Settings, ingest_elements
 from leafmill.sources import elements as elements_of, files as files_of
 from leafmill.sources.store import ChunkStore
@@ -27,7 +28,9 @@ def ingest_new_files(
 
     def ingest(batch, number):
         files = files_of.require_content(files_of.described(batch, root))
-        elements = elements_of.to_elements(files, settings.parsers)
+        path = f"{workspace}/elements/stream-{number}"
+        elements_of.to_elements(files, settings.parsers).write.mode("overwrite").parquet(path)
+        elements = batch.sparkSession.read.schema(schema.ELEMENTS).parquet(path)
         ingest_elements(
             elements, store, workspace, f"stream-{number}",
             datetime.now(timezone.utc).replace(tzinfo=None), settings)

@@ -10,4 +10,4 @@ from leafmill.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, spark__driver__memory="4g")
+    return local_session(8, shuffle_partitions=3, spark__driver__memory="4g")
