@@ -10,6 +10,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leafmill.operators.search import search_vector
@@ -26,7 +27,7 @@ def hyperplanes(dimension: int, bits: int) -> np.ndarray:
 
 
 def cell(vector: Column, dimension: int, bits: int) -> Column:
-    """Cell number of a vector of the given dimension."""
+    """Cell number of a vector; null for one of another dimension."""
     if bits > MAX_BITS:
         raise ValueError(f"at most {MAX_BITS} bits")
     planes = hyperplanes(dimension, bits)
@@ -34,9 +35,12 @@ def cell(vector: Column, dimension: int, bits: int) -> Column:
 
     @F.arrow_udf("int")
     def locate(vectors: pa.Array) -> pa.Array:
-        flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-        sides = flat.reshape(-1, dimension) @ planes.T >= 0
-        return pa.array((sides @ weights).astype(np.int32))
+        fits = np.array(pc.equal(pc.list_value_length(vectors), dimension).fill_null(False))
+        flat = vectors.filter(pa.array(fits)).flatten().to_numpy(zero_copy_only=False)
+        sides = flat.astype(np.float64).reshape(-1, dimension) @ planes.T >= 0
+        cells = np.zeros(len(vectors), np.int32)
+        cells[fits] = sides @ weights
+        return pa.array(cells, mask=~fits)
 
     return locate(vector)
 
@@ -57,5 +61,5 @@ def search_approximate(
     vector = options.get("vector", "chunk_embedding")
     cells = probed_cells(queries, dimension, bits, radius)
     place = F.col(cell_column) if cell_column else cell(F.col(vector), dimension, bits)
-    near = index.filter(F.size(vector) == dimension).filter(place.isin(cells))
+    near = index.filter(place.isin(cells))
     return search_vector(near, queries, k, **options)

@@ -13,6 +13,11 @@ from leafmill.functions import vectors as V
 VECTOR = T.ArrayType(T.FloatType())
 
 
+def _once(function):
+    """Keep Spark from evaluating the function again wherever a filter uses its result."""
+    return function.asNondeterministic()
+
+
 def token_buckets(text: Column, dimension: int) -> Column:
     """Bucket of each token: the leading 32 bits of its MD5, modulo ``dimension``.
 
@@ -45,7 +50,7 @@ def hashing_embedding(text: Column, dimension: int = 64) -> Column:
             pa.array(unit.ravel()),
         )
 
-    return count(token_buckets(F.coalesce(text, F.lit("")), dimension))
+    return _once(count)(token_buckets(F.coalesce(text, F.lit("")), dimension))
 
 
 _providers: dict[str, Callable] = {}
@@ -78,7 +83,7 @@ def provider_embedding(
                 vectors.extend(found)
             yield pd.Series(vectors, dtype=object)
 
-    return embed(text)
+    return _once(embed)(text)
 
 
 def embed_chunks(
