@@ -23,7 +23,7 @@ def with_ordinal(
     use_checkpoints(df.sparkSession)
     keys = list(partition_by)
     kinds = dict(df.dtypes)
-    hashable = [c for c in df.columns if not kinds[c].startswith("map")]
+    hashable = [c for c in df.columns if "map<" not in kinds[c]]
     order = [*keys, *order_by, "_tie", "_copy"]
     marked = df.withColumn("_tie", F.xxhash64(*hashable)).withColumn(
         "_copy", F.monotonically_increasing_id())

@@ -22,6 +22,8 @@ DECIMALS = 9
 QUERY_CELLS = 1 << 20
 # Query terms that are broadcast: at most this many bytes, counting 32 for the numbers of each.
 TERM_BYTES = 64 << 20
+# Up to this many different terms are looked up in stored postings by a pushed-down filter.
+LISTED_TERMS = 1000
 
 
 def top_k(hits: DataFrame, k: int, key: str = "chunk_id") -> DataFrame:
@@ -65,6 +67,22 @@ def postings(index: DataFrame, key: str = "chunk_id", text: str = "chunk_text")
         F.count("*").alias("frequency")).select("term", key, "frequency", "length")
 
 
+def write_postings(index: DataFrame, path: str, key: str = "chunk_id", text: str = "chunk_text") -> None:
+    """Store ``postings`` sorted by term, so that a lookup reads few row groups.
+
+    The range includes the row id, which splits a term that most rows hold.
+    """
+    postings(index, key, text).repartitionByRange("term", key).sortWithinPartitions(
+        "term", key).write.parquet(path)
+
+
+def _stored_postings(stored: DataFrame, terms: DataFrame, small) -> DataFrame:
+    wanted = terms.limit(LISTED_TERMS + 1).collect()
+    if len(wanted) <= LISTED_TERMS:
+        return stored.filter(F.col("term").isin([row.term for row in wanted]))
+    return stored.join(small(terms), "term", "left_semi")
+
+
 def _token_rows(index: DataFrame, text: str, *columns) -> DataFrame:
     """One row per token, with the token count of its text.
 
@@ -112,7 +130,7 @@ def keyword_contributions(
         listed = rows.join(small(terms), "term", "left_semi").repartition(key).groupBy(
             key, "term", "length", "_kept").agg(F.count("*").alias("frequency"))
     else:
-        listed = stored.join(small(terms), "term", "left_semi").repartition(key)
+        listed = _stored_postings(stored, terms, small).repartition(key)
         if filters:
             listed = listed.join(index.select(key, matches(filters).alias("_kept")), key)
         else:

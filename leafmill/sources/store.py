@@ -21,7 +21,7 @@ def last_per_key(df: DataFrame, key: str = "chunk_id", order_by: list[str] = ("p
 
     Rows equal in ``order_by`` are settled by hash, so that repeated runs agree.
     """
-    hashable = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString()]
+    hashable = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     order = F.struct(*order_by, F.xxhash64(*hashable))
     return df.groupBy(key).agg(
         F.max_by(F.struct(*[c for c in df.columns if c != key]), order).alias("row")
