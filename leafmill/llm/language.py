@@ -14,74 +14,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.common import appended, strings
+from leafmill.llm.grams import Grams
 
-BINS = 4096
-#: Bytes of text whose counts a task holds at once.
-SLICE = 1 << 20
-_SPACE = 0x20
-_FOLD = bytes(b if b >= 0x80 or chr(b).isalpha() else _SPACE for b in range(256))
+GRAMS = Grams(bins=4096, letters=True)
 
 
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
 
-def _codes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Bins of the three-byte windows, and which windows hold a letter."""
-    a = np.frombuffer(data, np.uint8).astype(np.uint32)
-    whole = (a[:-2] << np.uint32(16)) | (a[1:-1] << np.uint32(8)) | a[2:]
-    bins = (whole * np.uint32(2654435761)) >> np.uint32(20)
-    return bins.astype(np.int64), whole != 0x202020
-
-
-def gram_counts(texts: list[str | None]):
-    """Yield (first row, counts), counts being a matrix of rows by ``BINS``."""
-    start, held, size = 0, [], 0
-    for row, text in enumerate(texts):
-        data = b"  " + (text or "").lower().encode("utf-8", "surrogatepass").translate(_FOLD) + b"  "
-        if held and (size + len(data) > SLICE or len(held) >= 256):
-            yield start, _count(held)
-            start, held, size = row, [], 0
-        held.append(data)
-        size += len(data)
-    if held:
-        yield start, _count(held)
-
-
-def _count(held: list[bytes]) -> np.ndarray:
-    if len(held) == 1 and len(held[0]) > SLICE:
-        total = np.zeros((1, BINS))
-        for at in range(0, len(held[0]), SLICE):
-            piece = held[0][at:at + SLICE + 2]
-            if len(piece) > 2:
-                bins, keep = _codes(piece)
-                total[0] += np.bincount(bins[keep], minlength=BINS)
-        return total
-    bins, keep = _codes(b"".join(held))
-    rows = np.repeat(np.arange(len(held)) * BINS, [len(x) for x in held])[:len(bins)]
-    return np.bincount((bins + rows)[keep], minlength=len(held) * BINS).reshape(len(held), BINS)
-
-
 def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     x = np.log1p(counts).astype(np.float32) * idf
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
 def _frequencies(batches):
-    total, rows = np.zeros(BINS, np.int64), 0
+    total, rows = np.zeros(GRAMS.bins, np.int64), 0
     for batch in batches:
-        for _, counts in gram_counts(strings(batch, "text")):
+        for _, counts in GRAMS.counts(strings(batch, "text")):
             total += (counts > 0).sum(axis=0)
             rows += len(counts)
     if rows:
-        yield pa.RecordBatch.from_pydict({"bin": np.arange(-1, BINS, dtype=np.int32),
+        yield pa.RecordBatch.from_pydict({"bin": np.arange(-1, GRAMS.bins, dtype=np.int32),
                                           "n": np.concatenate([[rows], total])})
 
 
 def _clusterer(idf: np.ndarray, clusters: int, rounds: int, low: float):
     def fit(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["pick", "text"])
-        x = np.concatenate([_vectors(c, idf) for _, c in gram_counts(group["text"].tolist())])
+        x = np.concatenate([_vectors(c, idf) for _, c in GRAMS.counts(group["text"].tolist())])
         k = min(clusters, len(x))
         centers = x[np.linspace(0, len(x) - 1, k).astype(int)]
         for _ in range(rounds):
@@ -116,10 +77,10 @@ class LanguageModel:
         rows = rows.select("text", "lang").where(
             F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
         counts = rows.select("text").mapInArrow(_frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
-        found = {r.bin: r.n for r in counts.collect()}  # BINS + 1 rows
+        found = {r.bin: r.n for r in counts.collect()}  # GRAMS.bins + 1 rows
         if not found:
             return cls(None, [], None, None)
-        df = np.array([found.get(b, 0) for b in range(BINS)])
+        df = np.array([found.get(b, 0) for b in range(GRAMS.bins)])
         idf = np.log((1 + found[-1]) / (1 + df)).astype(np.float32) + 1
 
         pick = Window.partitionBy("lang").orderBy("pick")
@@ -150,7 +111,7 @@ class LanguageModel:
         def start():
             def work(texts):
                 names, scores, far = ["und"] * len(texts), [0.0] * len(texts), [True] * len(texts)
-                for first, counts in gram_counts(texts) if langs else ():
+                for first, counts in GRAMS.counts(texts) if langs else ():
                     cosines = _vectors(counts, idf) @ centroids.T
                     for i, b in enumerate(cosines.argmax(axis=1)):
                         if has_letter(texts[first + i]):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import language
+from leafmill.llm import language, pieces, quality
 from leafmill.llm.common import table
 
 
@@ -11,5 +11,18 @@ def op3_language_id(spark, folder):
     return language.identify(table(spark, folder, "documents"))
 
 
+def op8_sentencepiece(spark, folder):
+    """doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op9_quality(spark, folder):
+    """doc_id, held_out, score, predicted."""
+    return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 ORACLES = {}
