@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import language, pieces, quality
+from leafmill.llm import language, pieces, quality, secret_scan
 from leafmill.llm.common import table
 
 
@@ -11,6 +11,24 @@ def op3_language_id(spark, folder):
     return language.identify(table(spark, folder, "documents"))
 
 
+def joined_spans(spans):
+    """kind:start:end of an array of spans, joined by commas."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def span_columns(spans, kinds):
+    """A count for each base kind, the digest of the base spans, and all spans as text."""
+    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
+    return [*counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(spans).alias("spans")]
+
+
+def op6_secrets(spark, folder):
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans."""
+    found = secret_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *span_columns(F.col("secrets"), ("assign", "access", "hex")))
+
+
 def op8_sentencepiece(spark, folder):
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
     coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
