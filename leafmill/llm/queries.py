@@ -2,10 +2,20 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import language, pieces, quality, secret_scan
+from leafmill.llm import contamination, language, pieces, quality, secret_scan, shards
 from leafmill.llm.common import table
 
 
+def op1_kd_shards(spark, folder):
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+    return shards.shard(table(spark, folder, "documents"), shards=16)
+
+
+def op2_decontamination(spark, folder):
+    """doc_id, item_id, n_found, n_shingles, containment of the documents that hold a benchmark item."""
+    return contamination.contained(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op3_language_id(spark, folder):
     """doc_id, held_out, lang_pred, score, rejected."""
     return language.identify(table(spark, folder, "documents"))
