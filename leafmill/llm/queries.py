@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import contamination, language, pieces, quality, secret_scan, shards
+from leafmill.llm import contamination, language, pieces, quality, rules, secret_scan, shards
 from leafmill.llm.common import table
 
 
@@ -21,6 +21,12 @@ def op3_language_id(spark, folder):
     return language.identify(table(spark, folder, "documents"))
 
 
+def op4_rules(spark, folder):
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, quality."""
+    return rules.judge(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def joined_spans(spans):
     """kind:start:end of an array of spans, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
