@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -96,3 +96,22 @@ def appended(df: DataFrame, columns: str, compute, inputs: list[str]) -> DataFra
             yield batch
 
     return df.mapInArrow(run, schema)
+
+
+def last_picks(rows: DataFrame, group: str, sample: int) -> dict:
+    """For each value of ``group`` the ``sample``-th smallest different value of ``pick``, a 64-bit hash.
+
+    Rows up to it are a sample of at most ``sample`` different rows of the group. The hash is uniform, so rows far beyond the
+    expected place of that value are left out before any are ranked: what is ranked does not grow with the input.
+    """
+    rows = rows.select(F.col(group).alias("group"), "pick")
+    sizes = {r["group"]: r["n"] for r in rows.groupBy("group").agg(F.approx_count_distinct("pick").alias("n")).collect()}
+    if not sizes:
+        return {}
+    near = F.lit(False)
+    for value, n in sizes.items():
+        bound = min((1 << 63) - 1, -(1 << 63) + int((1 << 64) * 2 * sample / max(1, n)))
+        near = near | (F.col("group").eqNullSafe(F.lit(value)) & (F.col("pick") <= bound))
+    rank = F.row_number().over(Window.partitionBy("group").orderBy("pick"))
+    first = rows.where(near).distinct().withColumn("rank", rank).where(F.col("rank") <= sample)
+    return {r["group"]: r["last"] for r in first.groupBy("group").agg(F.max("pick").alias("last")).collect()}

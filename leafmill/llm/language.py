@@ -10,10 +10,10 @@ margin.
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import appended, strings
+from leafmill.llm.common import appended, last_picks, strings
 from leafmill.llm.grams import Grams
 
 GRAMS = Grams(bins=4096, letters=True)
@@ -83,11 +83,8 @@ class LanguageModel:
         df = np.array([found.get(b, 0) for b in range(GRAMS.bins)])
         idf = np.log((1 + found[-1]) / (1 + df)).astype(np.float32) + 1
 
-        pick = Window.partitionBy("lang").orderBy("pick")
-        narrow = rows.select("lang", F.xxhash64("text").alias("pick"))
-        picked = (narrow.distinct().withColumn("rank", F.row_number().over(pick))
-                  .where(F.col("rank") <= sample).groupBy("lang").agg(F.max("pick").alias("last")))
-        limits = {r["lang"]: r["last"] for r in picked.collect()}  # one row per language
+        picks = rows.select("lang", F.xxhash64("text").alias("pick"))
+        limits = last_picks(picks, "lang", sample)  # one row per language
         if len(limits) > max_langs:
             raise ValueError(f"{len(limits)} languages, more than {max_langs}")
         last = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(v))])

@@ -8,10 +8,10 @@ that the linear model has not seen, turns its margin into a probability.
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import appended
+from leafmill.llm.common import appended, last_picks
 from leafmill.llm.grams import Grams
 from leafmill.llm.language import held_out
 
@@ -101,8 +101,9 @@ class QualityModel:
                   .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
                   .groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
                   .where("label = other").select("doc_id", "label", F.xxhash64("doc_id").alias("pick")))
-        rank = F.row_number().over(Window.partitionBy("label").orderBy("pick", "doc_id"))
-        picked = narrow.withColumn("rank", rank).where(F.col("rank") <= sample).drop("rank")
+        limits = last_picks(narrow, "label", sample)
+        inside = [(F.col("label") == v) & (F.col("pick") <= last) for v, last in limits.items()]
+        picked = narrow.where(inside[0] | inside[-1] if inside else F.lit(False))
         texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
         chosen = texts.join(F.broadcast(picked), "doc_id")  # at most 2 x sample rows
         shares = {r["label"]: r["count"] for r in picked.groupBy("label").count().collect()}

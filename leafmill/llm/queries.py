@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import contamination, language, pieces, quality, rules, secret_scan, shards
+from leafmill.llm import contamination, language, personal, pieces, quality, rules, secret_scan, shards
 from leafmill.llm.common import table
 
 
@@ -34,9 +34,11 @@ def joined_spans(spans):
 
 def span_columns(spans, kinds):
     """A count for each base kind, the digest of the base spans, and all spans as text."""
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    def of(kind):
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     base = F.filter(spans, lambda s: s["kind"].isin(*kinds))
-    return [*counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(spans).alias("spans")]
+    return [*map(of, kinds), F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(spans).alias("spans")]
 
 
 def op6_secrets(spark, folder):
@@ -58,5 +60,11 @@ def op9_quality(spark, folder):
     return quality.score_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_pii(spark, folder):
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans."""
+    found = personal.find(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *span_columns(F.col("personal"), personal.KINDS))
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 ORACLES = {}

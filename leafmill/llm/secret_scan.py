@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import appended, strings
+from leafmill.llm.common import appended, last_picks, strings
 
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -307,13 +307,10 @@ def fit_field(docs: DataFrame, sample: int = 1200) -> Field | None:
     None when no text has a base find.
     """
     texts = docs.select("text").where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("pick"), F.col("text").rlike(LIKELY).alias("likely"))
-    ends = {}
-    for likely in (True, False):
-        first = texts.where(F.col("likely") == likely).select("pick").distinct().orderBy("pick").limit(sample)
-        ends[likely] = first.agg(F.max("pick")).first()[0]
-    if ends[True] is None:
+    ends = last_picks(texts, "likely", sample)
+    if True not in ends:
         return None
-    chosen = texts.where((F.col("likely") & (F.col("pick") <= ends[True])) | (~F.col("likely") & (F.col("pick") <= F.lit(ends[False]).cast("long"))))
+    chosen = texts.where((F.col("likely") & (F.col("pick") <= ends[True])) | (~F.col("likely") & (F.col("pick") <= F.lit(ends.get(False)).cast("long"))))
     windows = chosen.dropDuplicates(["pick"]).select("text").mapInArrow(_windows, "features array<array<string>>, tags array<int>")
     rows = windows.groupBy(F.lit(0).alias("model")).applyInPandas(_fit, "features array<string>, weights array<double>, moves array<double>").collect()
     if not rows:
