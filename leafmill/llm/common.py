@@ -1,5 +1,7 @@
 """What several operators of this package share: reading, cutting lineage, words and shingles."""
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -115,3 +117,15 @@ def last_picks(rows: DataFrame, group: str, sample: int) -> dict:
     rank = F.row_number().over(Window.partitionBy("group").orderBy("pick"))
     first = rows.where(near).distinct().withColumn("rank", rank).where(F.col("rank") <= sample)
     return {r["group"]: r["last"] for r in first.groupBy("group").agg(F.max("pick").alias("last")).collect()}
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """Like ``stored``, as compressed columns: for wide rows of which later steps read a part.
+
+    The table lies beside the checkpoints and stays until that folder is cleared.
+    """
+    spark = df.sparkSession
+    use_checkpoints(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/saved-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import contamination, language, personal, pieces, quality, rules, secret_scan, shards
+from leafmill.llm import contamination, jaccard, language, passages, personal, pieces, quality, rules, secret_scan, shards
 from leafmill.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op4_rules(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op5_passages(spark, folder):
+    """doc_id, start, end, other_doc_id, other_start, other_end, similarity: passages of 50 words or more."""
+    return passages.repeated(table(spark, folder, "documents"))
+
+
 def joined_spans(spans):
     """kind:start:end of an array of spans, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
@@ -47,6 +52,11 @@ def op6_secrets(spark, folder):
     return found.select("doc_id", *span_columns(F.col("secrets"), ("assign", "access", "hex")))
 
 
+def op7_jaccard(spark, folder):
+    """doc_id, n_shingles, component_id."""
+    return jaccard.join(table(spark, folder, "documents"))
+
+
 def op8_sentencepiece(spark, folder):
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
     coded = pieces.encode(table(spark, folder, "documents").select("doc_id", "text"))
