@@ -377,3 +377,15 @@ def join(docs: DataFrame) -> DataFrame:
     found = rows.where("n > 0").join(smallest, "part").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("smallest").alias("component_id"))
     alone = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.unionByName(alone)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the smallest of their component, with all their columns.
+
+    Of rows that repeat both doc_id and text one stays; rows without a word all stay, and so do rows of
+    a component of null ids only, one for each text.
+    """
+    found = join(docs)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return rows.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")

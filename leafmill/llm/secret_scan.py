@@ -343,3 +343,30 @@ def _all_spans(text, tagger):
     more = tagger.spans(text) if tagger else []
     found = base + [(a, 3, b) for a, b in more if not any(s < b and a < e for s, _, e in base)] if more else base
     return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(found)]
+
+
+def redacted(docs: DataFrame, field: Field | None = None, mark: str = "[SECRET]", sample: int = 1200) -> DataFrame:
+    """``docs`` with every secret in ``text`` replaced by ``mark``; touching or overlapping spans become one mark.
+
+    Null texts stay null.
+    """
+    field = field or fit_field(docs, sample)
+
+    def start():
+        tagger = Tagger(field) if field else None
+
+        def clean(text):
+            spans = _all_spans(text, tagger)
+            if not spans:
+                return text
+            out, at = [], 0
+            for s in spans:
+                if not out or s["start"] > at:
+                    out += [text[at:s["start"]], mark]
+                at = max(at, s["end"])
+            return "".join([*out, text[at:]])
+
+        return lambda texts: [[clean(t) for t in texts]]
+
+    found = appended(docs, "_redacted string", start, ["text"])
+    return found.select(*[F.col("_redacted").alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
