@@ -53,9 +53,16 @@ def secret_parts(text: str) -> list[tuple[int, int]]:
     return sorted({*parts, *((s, e) for s, k, e in base_spans(text) if k)})
 
 
+#: Features of words by length, without and with a mark at their end.
+_PLAIN: dict[int, list[str]] = {}
+_ENDED: dict[int, list[str]] = {}
+
+
 def shape_features(token: str) -> list[str]:
     """Length, kinds of characters and how they mix."""
     n = len(token)
+    if n in _PLAIN and token[:-1].isalpha():
+        return _PLAIN[n] if token[-1].isalpha() else _ENDED[n]
     size = "1" if n == 1 else "short" if n < 8 else "mid" if n < 12 else "long" if n < 16 else "key" if n < 64 else "huge"
     if n < 8 or token.isalpha():
         kind = "delim" if n == 1 and not token.isalnum() else "digits" if token.isdigit() else "alpha" if token.isalpha() else "mixed"
@@ -74,6 +81,10 @@ def shape_features(token: str) -> list[str]:
             f"web={web}", f"distinct={distinct}", f"digits={4 * digits // n}"]
 
 
+_PLAIN.update({n: shape_features("a" * n) for n in range(2, 64)})
+_ENDED.update({n: [*_PLAIN[n], "ended"] for n in _PLAIN})
+
+
 def file_features(text: str) -> list[str]:
     """Length and how much the text looks like code or settings."""
     n = max(1, len(text))
@@ -98,9 +109,17 @@ class Field:
         #: The most that tagging a token b or i instead of o can gain from its two transitions.
         self.gain = [max(t[a, x] + t[x, b] - t[a, 2] - t[2, b] for a in range(3) for b in range(3)) for x in (0, 1)]
 
-    def score(self, features: list[str]) -> np.ndarray:
+        #: Words with a weight as a neighbour: scores for each of ``OFFSETS``, one after the other.
+        self.around: dict[str, list[float]] = {}
+        for k, offset in enumerate(OFFSETS):
+            head = f"at{offset}="
+            for feature, row in weights.items():
+                if feature.startswith(head):
+                    self.around.setdefault(feature[len(head):], [0.0] * 3 * len(OFFSETS))[3 * k:3 * k + 3] = row
+
+    def score(self, features) -> list[float]:
         rows = [self.weights[f] for f in features if f in self.weights]
-        return np.sum(rows, axis=0) if rows else np.zeros(3)
+        return [sum(column) for column in zip(*rows, strict=True)] if rows else [0.0] * 3
 
 
 class Tagger:
@@ -112,27 +131,31 @@ class Tagger:
 
     def reset(self):
         self.rows: dict[str, int] = {}
+        self.shapes: dict[tuple, list[float]] = {}
         self.table = np.zeros((4096, 3 * (1 + len(OFFSETS))))
-        self.edge = self._row(NO_TOKEN)
-
-    def _row(self, token: str) -> int:
-        at = self.rows.get(token)
-        if at is None:
-            at = self.rows[token] = len(self.rows)
-            if at == len(self.table):
-                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            parts = [self.field.score(shape_features(token) if token != NO_TOKEN else [])]
-            parts += [self.field.score([neighbour_feature(o, token)]) for o in OFFSETS]
-            self.table[at] = np.concatenate(parts)
-        return at
+        self._add([NO_TOKEN])
+
+    def _add(self, tokens: list[str]):
+        plain, around, rows = [0.0] * 3 * len(OFFSETS), self.field.around, []
+        for token in tokens:
+            features = tuple(shape_features(token)) if token != NO_TOKEN else ()
+            shape = self.shapes.get(features)
+            if shape is None:
+                shape = self.shapes[features] = self.field.score(features)
+            rows.append(shape + around.get(_word(token), plain))
+        first = len(self.rows)
+        while first + len(rows) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[first:first + len(rows)] = rows
+        self.rows.update(zip(tokens, range(first, first + len(rows)), strict=True))
 
     def _ids(self, tokens: list[str]) -> np.ndarray:
         new = {*tokens}.difference(self.rows)
         if len(self.rows) + len(new) > MEMORY:
             self.reset()
             new = {*tokens}
-        for token in new:
-            self._row(token)
+        if new:
+            self._add(list(new))
         return np.fromiter(map(self.rows.__getitem__, tokens), np.int64, len(tokens))
 
     def tags(self, tokens: list[str], file_score: np.ndarray) -> list[tuple[int, int]]:
@@ -148,7 +171,7 @@ class Tagger:
         scores = self.table[ids, :3] + file_score
         for k, offset in enumerate(OFFSETS):
             part = self.table[:, 3 * (k + 1):3 * (k + 2)]
-            there = np.full(n, self.edge)
+            there = np.zeros(n, np.int64)  # beyond either end: the row of no token
             if offset < 0:
                 there[-offset:] = ids[:offset] if n > -offset else ids[:0]
             else:
@@ -188,7 +211,7 @@ class Tagger:
         """Code points of the secrets in the whole text, tagged in blocks cut at white space."""
         if not text:
             return []
-        file_score = self.field.score(file_features(text))
+        file_score = np.array(self.field.score(file_features(text)))
         found, at = [], 0
         while at < len(text):
             cut = SPACE.search(text, at + BLOCK) if at + BLOCK < len(text) else None
@@ -231,7 +254,7 @@ def training_windows(text: str, reach: int = 8, plain: int = 6) -> list[tuple[li
     return out
 
 
-def train_field(windows, rounds: int = 80, rate: float = 0.5, decay: float = 1e-5, least: int = 3) -> Field:
+def train_field(windows, rounds: int = 60, rate: float = 0.5, decay: float = 1e-5, least: int = 3) -> Field:
     """Maximise the likelihood of the tags by gradient steps over all windows at once."""
     counts: dict[str, int] = {}
     for features, _ in windows:
@@ -301,7 +324,7 @@ def _fit(group: pd.DataFrame) -> pd.DataFrame:
                          "moves": [field.moves.ravel().tolist()]})
 
 
-def fit_field(docs: DataFrame, sample: int = 1200) -> Field | None:
+def fit_field(docs: DataFrame, sample: int = 500) -> Field | None:
     """Train on at most ``sample`` different texts with base finds and as many others, the first by a hash.
 
     None when no text has a base find.
@@ -319,7 +342,7 @@ def fit_field(docs: DataFrame, sample: int = 1200) -> Field | None:
     return Field(dict(zip(rows[0]["features"], weights, strict=True)), np.array(rows[0]["moves"]).reshape(3, 3).tolist())
 
 
-def scan(docs: DataFrame, field: Field | None = None, sample: int = 1200) -> DataFrame:
+def scan(docs: DataFrame, field: Field | None = None, sample: int = 500) -> DataFrame:
     """Add ``secrets``, an array of (kind, start, end) in code points, ordered by start and kind, to ``docs``.
 
     Base finds always stay; a tagged span is added (kind ``crf``) where it touches none of them.
@@ -345,7 +368,7 @@ def _all_spans(text, tagger):
     return [{"kind": KINDS[k], "start": s, "end": e} for s, k, e in sorted(found)]
 
 
-def redacted(docs: DataFrame, field: Field | None = None, mark: str = "[SECRET]", sample: int = 1200) -> DataFrame:
+def redacted(docs: DataFrame, field: Field | None = None, mark: str = "[SECRET]", sample: int = 500) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mark``; touching or overlapping spans become one mark.
 
     Null texts stay null.
