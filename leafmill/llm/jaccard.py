@@ -77,7 +77,8 @@ def _nodes(batches):
             values = shingle_set(text, hashes)
             sig.append(signature(values))
             sizes.append(len(values))
-        yield pa.RecordBatch.from_arrays([ids, pa.array(sig, pa.int64()), pa.array(sizes, pa.int32())], ["doc_id", "sig", "n"])
+        yield pa.RecordBatch.from_arrays(
+            [ids, batch.column(2), pa.array(sig, pa.int64()), pa.array(sizes, pa.int32())], ["doc_id", "text_key", "sig", "n"])
 
 
 def _common(batches):
@@ -323,15 +324,15 @@ def _node(sig: str, place: str):
 
 
 def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, text_key (a hash of the text) of every row of ``docs`` (doc_id, text).
 
     Words are runs outside \\x20 and \\x09-\\x0D with A-Z in lower case. Rows whose sets are similar are
     linked; ``component_id`` is the smallest doc_id among the rows that links reach. Rows without a word are linked with
     nothing. Repeated rows are copies of each other. Null ids are not smallest unless all are null. Shingles and sets are told by 64-bit hashes, sets by their size as well.
     """
-    docs = docs.select("doc_id", "text")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     texts = docs.select("text").where(F.col("text").isNotNull())
-    rows = stored(docs.mapInArrow(_nodes, "doc_id long, sig long, n int"))
+    rows = stored(docs.mapInArrow(_nodes, "doc_id long, text_key long, sig long, n int"))
 
     often = texts.mapInArrow(_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = often.orderBy(F.desc("n"), "token").limit(COMMON).select("token")
@@ -374,18 +375,19 @@ def join(docs: DataFrame) -> DataFrame:
     key = F.struct("sig", "n")
     rows = rows.join(whole.withColumnRenamed("node", "key"), key == F.col("key"), "left").withColumn("part", F.coalesce("component", key))
     smallest = rows.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("smallest"))
-    found = rows.where("n > 0").join(smallest, "part").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("smallest").alias("component_id"))
-    alone = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    found = rows.where("n > 0").join(smallest, "part").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("smallest").alias("component_id"), "text_key")
+    alone = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key")
     return found.unionByName(alone)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the smallest of their component, with all their columns.
 
-    Of rows that repeat both doc_id and text one stays; rows without a word all stay, and so do rows of
-    a component of null ids only, one for each text.
+    Of rows that repeat both doc_id and text one stays. Texts without a word are alone and stay; a row with
+    a null id stays where no id of its component is known.
     """
     found = join(docs)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return rows.withColumn("_text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"), F.col("text_key").alias("_key"))
+    rows = docs.withColumn("_text_key", F.xxhash64("text"))
+    rows = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("_kept")) & (F.col("_text_key") == F.col("_key")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")

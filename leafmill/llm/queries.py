@@ -54,7 +54,7 @@ def op6_secrets(spark, folder):
 
 def op7_jaccard(spark, folder):
     """doc_id, n_shingles, component_id."""
-    return jaccard.join(table(spark, folder, "documents"))
+    return jaccard.join(table(spark, folder, "documents")).drop("text_key")
 
 
 def op8_sentencepiece(spark, folder):
