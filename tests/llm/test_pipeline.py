@@ -13,7 +13,7 @@ def test_stages(spark, tmp_path):
     items = [prose(25) for _ in range(3)]
     texts = [prose(rnd.randint(30, 120)) for _ in range(40)]
     texts += [texts[3], texts[4] + " more", prose(20) + " " + items[1] + " " + prose(20), prose(30) + " password=0123456789abcdef " + prose(9), None, "12 34", "Кириллица совсем другая речь " * 5]
-    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs = spark.createDataFrame([(k, t, None if k == 46 else "en", "s", len(t or "")) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     found = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
