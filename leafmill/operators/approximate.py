@@ -45,21 +45,33 @@ def cell(vector: Column, dimension: int, bits: int) -> Column:
     return locate(vector)
 
 
-def probed_cells(queries: DataFrame, dimension: int, bits: int, radius: int) -> list[int]:
+def with_cells(queries: DataFrame, dimension: int, bits: int) -> DataFrame:
+    """Queries with their own cell as ``query_cell``."""
+    own = cell(F.col("query_vector").cast("array<float>"), dimension, bits)
+    return queries.withColumn("query_cell", own)
+
+
+def probed_cells(queries: DataFrame, bits: int, radius: int) -> list[int]:
     """Cells that differ from some query's own cell in up to ``radius`` bits; at most 2^bits."""
-    own = queries.select(
-        cell(F.col("query_vector").cast("array<float>"), dimension, bits).alias("cell")).distinct()
     flips = [sum(1 << b for b in c) for r in range(radius + 1) for c in combinations(range(bits), r)]
-    return sorted({row.cell ^ flip for row in own.collect() for flip in flips})
+    own = queries.select("query_cell").filter("query_cell is not null").distinct().collect()
+    return sorted({row.query_cell ^ flip for row in own for flip in flips})
 
 
 def search_approximate(
     index: DataFrame, queries: DataFrame, dimension: int, bits: int = 8, radius: int = 1,
     k: int = 10, cell_column: str | None = None, **options,
 ) -> DataFrame:
-    """``search_vector`` over the probed cells only. ``cell_column`` names a stored cell."""
+    """``search_vector`` where each query sees the rows of the cells around its own.
+
+    The cells of all queries together decide what is read, so a query's hits do not depend on the others.
+    ``cell_column`` names a stored cell; a partition column then prunes files.
+    """
     vector = options.get("vector", "chunk_embedding")
-    cells = probed_cells(queries, dimension, bits, radius)
-    place = F.col(cell_column) if cell_column else cell(F.col(vector), dimension, bits)
-    near = index.filter(place.isin(cells))
-    return search_vector(near, queries, k, **options)
+    queries = with_cells(queries, dimension, bits)
+    if not cell_column:
+        cell_column = "_own_cell"
+        index = index.withColumn(cell_column, cell(F.col(vector), dimension, bits))
+    cells = probed_cells(queries, bits, radius)
+    near = index.filter(F.col(cell_column).isin(cells))
+    return search_vector(near, queries, k, near=(cell_column, radius), **options)

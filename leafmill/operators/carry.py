@@ -72,7 +72,8 @@ def entry_states(
     overlap = max(overlap, 0)
     heads = blocks.join(documents, "document_name").select(
         "document_name",
-        F.floor(F.col("block") / run).cast("int").alias("run"),
+        # Not null, or the filter that Spark infers would split the exchange of the blocks in two.
+        F.coalesce(F.floor(F.col("block") / run).cast("int"), F.lit(0)).alias("run"),
         "block",
         F.transform("elements", lambda e: e.n_words).alias("words"),
         F.transform("elements", lambda e: e.is_header).alias("headers"),

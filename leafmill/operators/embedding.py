@@ -1,5 +1,7 @@
 """Texts to vectors: a built-in hashing embedder and a hook for a user's provider."""
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -53,7 +55,13 @@ def hashing_embedding(text: Column, dimension: int = 64) -> Column:
     return _once(count)(token_buckets(F.coalesce(text, F.lit("")), dimension))
 
 
-_providers: dict[str, Callable] = {}
+def _process_providers() -> dict[str, Callable]:
+    """Providers of this worker process, kept where every task of the process finds them.
+
+    Functions travel to workers by value, so a variable of this module would be new in each task.
+    """
+    name = "_leafmill_providers"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))
 
 
 def provider_embedding(
@@ -70,9 +78,10 @@ def provider_embedding(
 
     @F.pandas_udf(VECTOR)
     def embed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if key not in _providers:
-            _providers[key] = build()
-        provider = _providers[key]
+        providers = _process_providers()
+        if key not in providers:
+            providers[key] = build()
+        provider = providers[key]
         for texts in batches:
             texts, vectors = texts.tolist(), []
             for at in range(0, len(texts), batch_size):
@@ -116,9 +125,12 @@ def attach_vectors(
     chunks: DataFrame, vectors: DataFrame, keys: list[str] = ("document_name", "chunk_index"),
     vector: str = "chunk_embedding",
 ) -> DataFrame:
-    """Join chunks to vectors kept in a table; a chunk without one fails the job."""
+    """Join chunks to vectors kept in a table; a chunk with none or several fails the job."""
     keys = list(keys)
-    joined = chunks.drop(vector).join(vectors.select(*keys, vector), keys, "left")
+    several = F.raise_error(F.concat_ws(" ", F.lit("several vectors for"), *keys))
+    one = vectors.groupBy(*keys).agg(F.first(vector).alias(vector), F.count("*").alias("_vectors"))
+    one = one.withColumn(vector, F.when(F.col("_vectors") > 1, several.cast(vectors.schema[vector].dataType)).otherwise(F.col(vector))).drop("_vectors")
+    joined = chunks.drop(vector).join(one, keys, "left")
     absent = F.raise_error(F.concat_ws(" ", F.lit("no vector for"), *keys))
     kind = vectors.schema[vector].dataType
     return joined.withColumn(

@@ -22,12 +22,14 @@ DECIMALS = 9
 QUERY_CELLS = 1 << 20
 # Query terms that are broadcast: at most this many bytes, counting 32 for the numbers of each.
 TERM_BYTES = 64 << 20
+# Nearest rows of all queries that are broadcast.
+BEST_ROWS = 100_000
 # Up to this many different terms are looked up in stored postings by a pushed-down filter.
 LISTED_TERMS = 1000
 
 
-def top_k(hits: DataFrame, k: int, key: str = "chunk_id") -> DataFrame:
-    """The ``k`` best hits per query.
+def top_k(hits: DataFrame, k: int, key: str = "chunk_id", also: tuple = ()) -> DataFrame:
+    """The ``k`` best hits per query, with the columns ``also``.
 
     Two rounds: the first splits each query's hits by id, so a query that matches a third of
     the table is not ranked by one task. Spark cuts each task's input to ``k`` rows per group
@@ -41,7 +43,7 @@ def top_k(hits: DataFrame, k: int, key: str = "chunk_id") -> DataFrame:
     if k > int(threshold):
         hits = best(hits.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(1024))),
                     "query_id", "_part").drop("_part", "rank")
-    return best(hits, "query_id").select("query_id", key, "score", "rank")
+    return best(hits, "query_id").select("query_id", key, "score", "rank", *also)
 
 
 def query_frame(
@@ -169,25 +171,28 @@ def search_text(
 class _Best:
     """The ``k`` best (score, id) pairs per query among the batches seen so far."""
 
-    def __init__(self, matrix: np.ndarray, k: int, min_score: float | None):
+    def __init__(self, matrix: np.ndarray, k: int, min_score: float | None, cells: np.ndarray, bits: int):
         self.unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
-        self.k = k
+        self.k, self.cells, self.bits = k, cells, bits
         self.least = np.full(len(matrix), -np.inf if min_score is None else min_score)
         self.kept = [(np.empty(0), np.empty(0, object)) for _ in matrix]
 
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+    def add(self, ids: pa.Array, vectors: np.ndarray, cells: pa.Array) -> None:
+        """Only ids of rows that enter some query's list become Python objects."""
         norms = np.linalg.norm(vectors, axis=1)
-        ids, vectors, norms = ids[norms > 0], vectors[norms > 0], norms[norms > 0]
         scores = np.round((1 + (vectors / norms[:, None]) @ self.unit.T) / 2, DECIMALS)
         near = scores >= self.least
+        cells = cells.to_numpy(zero_copy_only=False)
+        if cells.any() or self.cells.any():
+            near &= np.bitwise_count(cells[:, None] ^ self.cells[None, :]) <= self.bits
         # After the first batches few queries see a better row.
         for q in np.flatnonzero(near.any(axis=0)):
             rows = np.flatnonzero(near[:, q])
+            if len(rows) > self.k:
+                edge = np.partition(scores[rows, q], -self.k)[-self.k]
+                rows = rows[scores[rows, q] >= edge]
             merged = np.concatenate([self.kept[q][0], scores[rows, q]])
-            merged_ids = np.concatenate([self.kept[q][1], ids[rows]])
-            if len(merged) > self.k:
-                edge = np.partition(merged, -self.k)[-self.k]
-                merged, merged_ids = merged[merged >= edge], merged_ids[merged >= edge]
+            merged_ids = np.concatenate([self.kept[q][1], np.array(ids.take(pa.array(rows)).to_pylist(), object)])
             order = np.lexsort((merged_ids, -merged))[:self.k]
             self.kept[q] = merged[order], merged_ids[order]
             if len(order) == self.k:
@@ -208,18 +213,22 @@ def _blocks(batches, width):
 def search_vector(
     index: DataFrame, queries: DataFrame, k: int = 10, filters: dict | None = None,
     min_score: float | None = None, key: str = "chunk_id", vector: str = "chunk_embedding",
-    query_cells: int = QUERY_CELLS,
+    query_cells: int = QUERY_CELLS, skip_bad: bool = False, near: tuple[str, int] | None = None,
 ) -> DataFrame:
     """Exact nearest rows by cosine; the score is (1 + cosine) / 2.
 
-    Filters apply before the ranking. Each task multiplies its batches of vectors with the
+    A row whose vector has another dimension or is zero fails the job, unless ``skip_bad``; a row without one is no
+    hit. ``near`` names a column with the cell of a row and a number of bits: a query only sees rows
+    whose cell differs from its own, in ``query_cell``, in so many bits. Filters apply before the ranking. Each task multiplies its batches of vectors with the
     matrix of query vectors and keeps the ``k`` best per query, so only those are shuffled.
     Queries that fit ``query_cells`` numbers travel with the tasks. More than that are joined in
     blocks: see ``_search_grid``.
     """
-    asked = queries.select("query_id", F.col("query_vector").cast("array<double>").alias("vector"))
+    own = F.col("query_cell") if near else F.lit(0).alias("query_cell")
+    place = F.col(near[0]).cast("int").alias("_cell") if near else F.lit(0).alias("_cell")
+    asked = queries.select("query_id", F.col("query_vector").cast("array<double>").alias("vector"), own)
     first = asked.filter("vector is not null").first()
-    rows = index.filter(matches(filters)).filter(F.col(vector).isNotNull()).select(key, vector)
+    rows = index.filter(matches(filters)).filter(F.col(vector).isNotNull()).select(key, vector, place)
     kinds = {f.name: f.dataType for f in [*asked.schema.fields, *rows.schema.fields]}
     result = T.StructType([
         T.StructField("query_id", kinds["query_id"]), T.StructField(key, kinds[key]),
@@ -228,8 +237,16 @@ def search_vector(
     if first is None:
         return top_k(index.sparkSession.createDataFrame([], result), k, key)
     dimension = len(first["vector"])
-    # Rows of another dimension cannot be compared, and a zero query has no direction.
-    rows = rows.filter(F.size(vector) == dimension)
+    # Vectors of another dimension cannot be compared, and zero has no direction.
+    fits = (F.size(vector) == dimension) & F.exists(vector, lambda x: x != 0)
+    if skip_bad:
+        rows = rows.filter(F.coalesce(fits, F.lit(False)))
+    else:
+        bad = F.raise_error(F.concat(F.lit("bad vector: "), F.col(key).cast("string")))
+        kind = rows.schema[vector].dataType
+        rows = rows.withColumn(
+            vector, F.when(F.coalesce(fits, F.lit(False)), F.col(vector)).otherwise(bad.cast(kind)))
+    bits = near[1] if near else 0
     wrong = F.raise_error(F.concat(F.lit("bad query vector: "), F.col("query_id").cast("string")))
     usable = (F.size("vector") == dimension) & F.exists("vector", lambda x: x != 0)
     asked = asked.withColumn(
@@ -239,9 +256,9 @@ def search_vector(
     most = max(1, query_cells // dimension)
     few = asked.limit(most + 1).collect()
     if len(few) > most:
-        hits = _search_grid(rows, asked, k, min_score, key, vector, dimension, most, result)
+        hits = _search_grid(rows, asked, k, min_score, key, vector, dimension, most, result, bits)
     else:
-        hits = _search_held(rows, few, k, min_score, key, vector, dimension, result)
+        hits = _search_held(rows, few, k, min_score, key, vector, dimension, result, bits)
     return top_k(hits, k, key)
 
 
@@ -257,25 +274,25 @@ def _emit(best: _Best, query_ids, key, schema: pa.Schema):
     }, schema=schema)
 
 
-def _search_held(rows, asked, k, min_score, key, vector, dimension, result):
+def _search_held(rows, asked, k, min_score, key, vector, dimension, result, bits):
     """The query matrix goes to every task; the vectors stay where they were read."""
     query_ids = [row["query_id"] for row in asked]
     matrix = rows.sparkSession.sparkContext.broadcast(
         np.array([row["vector"] for row in asked], np.float64))
+    cells = np.array([row["query_cell"] for row in asked], np.int64)
     width = max(1, QUERY_CELLS // len(query_ids))
     schema = _arrow(result)
 
     def scan(batches):
-        best = _Best(matrix.value, k, min_score)
+        best = _Best(matrix.value, k, min_score, cells, bits)
         for batch in _blocks(batches, width):
-            ids = np.array(batch.column(key).to_pylist(), object)
-            best.add(ids, _matrix(batch.column(vector), dimension))
+            best.add(batch.column(key), _matrix(batch.column(vector), dimension), batch.column("_cell"))
         yield from _emit(best, query_ids, key, schema)
 
     return rows.mapInArrow(scan, result)
 
 
-def _search_grid(rows, asked, k, min_score, key, vector, dimension, most, result):
+def _search_grid(rows, asked, k, min_score, key, vector, dimension, most, result, bits):
     """More queries than a task should hold: blocks of vectors meet blocks of queries.
 
     Vectors are hashed into ``m`` blocks and queries into ``n``, and each of the ``m * n`` groups
@@ -286,19 +303,19 @@ def _search_grid(rows, asked, k, min_score, key, vector, dimension, most, result
     schema = _arrow(result)
     placed = rows.select(
         F.pmod(F.xxhash64(key), F.lit(m)).alias("i"),
-        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"), key, vector)
+        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("j"), key, vector, "_cell")
     spread = asked.select(
         F.explode(F.sequence(F.lit(0), F.lit(m - 1)).cast("array<bigint>")).alias("i"),
-        F.pmod(F.xxhash64("query_id"), F.lit(n)).cast("int").alias("j"), "query_id", "vector")
+        F.pmod(F.xxhash64("query_id"), F.lit(n)).cast("int").alias("j"), "query_id", "vector", "query_cell")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
         if left.num_rows and right.num_rows:
-            best = _Best(_matrix(right["vector"].combine_chunks(), dimension), k, min_score)
+            best = _Best(_matrix(right["vector"].combine_chunks(), dimension), k, min_score,
+                         right["query_cell"].to_numpy(), bits)
             width = max(1, QUERY_CELLS // right.num_rows)
             for batch in _blocks(left.to_batches(), width):
-                ids = np.array(batch.column(key).to_pylist(), object)
-                best.add(ids, _matrix(batch.column(vector), dimension))
+                best.add(batch.column(key), _matrix(batch.column(vector), dimension), batch.column("_cell"))
             found = list(_emit(best, right["query_id"].to_pylist(), key, schema))
         return pa.Table.from_batches(found, schema=schema)
 
@@ -319,14 +336,23 @@ def search_hybrid(
 ) -> DataFrame:
     """Weighted sum of the keyword score and, for a query's ``k`` nearest rows, the vector score.
 
-    The two kinds of share are added up in one grouping; weights are used as given.
+    Keyword scores are added up where the rows lie. Only each query's best rows leave their tasks:
+    the 2 ``k`` best by keywords, of which at least ``k`` are not among the nearest and so keep their
+    score, and the keyword scores of the nearest. Weights are used as given.
     """
     shares = keyword_contributions(
         index, queries, None, key, text, stored, size, legacy_factor)
+    words = shares.groupBy("query_id", key).agg((F.sum(F.col("share") * text_weight)).alias("words"))
     nearest = search_vector(index, queries, k, key=key, vector=vector)
-    both = shares.select("query_id", key, (F.col("share") * text_weight).alias("share")).unionByName(
-        nearest.select("query_id", key, (F.col("score") * vector_weight).alias("share")))
-    return top_k(_summed(both, key), k, key)
+    ranked = words.withColumn("score", F.round("words", DECIMALS))
+    best = top_k(ranked, 2 * k, key, ("words",)).select("query_id", key, "words")
+    asked = queries.limit(BEST_ROWS // k + 1).count() * k
+    small = F.broadcast if asked <= BEST_ROWS else lambda df: df
+    near = nearest.select("query_id", key, (F.col("score") * vector_weight).alias("near"))
+    also = words.join(small(near.select("query_id", key)), ["query_id", key], "left_semi")
+    both = best.unionByName(also).distinct().join(near, ["query_id", key], "full")
+    score = F.round(F.coalesce("words", F.lit(0.0)) + F.coalesce("near", F.lit(0.0)), DECIMALS)
+    return top_k(both.select("query_id", key, score.alias("score")), k, key)
 
 
 def with_source(hits: DataFrame, index: DataFrame, key: str = "chunk_id") -> DataFrame:

@@ -59,9 +59,13 @@ def chunks_from(elements: DataFrame, settings: Settings, run_ts: datetime) -> Da
 
 def index_chunks(
     chunks: DataFrame, store: ChunkStore, settings: Settings, workspace: str, batch_id: str,
-    run_ts: datetime,
+    run_ts: datetime, documents: DataFrame | None = None,
 ) -> Result:
-    """Check, upsert and record chunks. They are computed once, into the workspace."""
+    """Check, upsert and record chunks. They are computed once, into the workspace.
+
+    ``documents`` names the batch's documents; one without a chunk loses its older chunks and is recorded
+    with none. A batch that is run again replaces its own records.
+    """
     spark = chunks.sparkSession
     lines = []
     if settings.on_error == "failfast":
@@ -71,39 +75,44 @@ def index_chunks(
     seen.write.mode("overwrite").parquet(path)
     total, valid = counts.get["rows"], counts.get["valid"]
     lines.append(f"chunks: {total}")
-    if total == 0:
-        runs.write_log(spark, f"{workspace}/run_log", "finished", [*lines, "no chunks"], run_ts)
-        return Result("empty")
     ready = spark.read.schema(schema.CHUNKS).parquet(path)
     good = F.coalesce(valid_vector(settings.dimension), F.lit(False))
     if valid < total:
-        ready.filter(~good).write.mode("append").parquet(f"{workspace}/quarantine")
-    if valid:
-        store.upsert(ready.filter(good), settings.replace_document, stored=True)
-    broken = ready.filter(~good).select("document_name").distinct()
-    manifest = f"{workspace}/manifest"
-    whole = ready.join(broken, "document_name", "left_anti") if valid < total else ready
-    runs.record_documents(whole, manifest, batch_id, run_ts)
-    if valid < total:
-        partial = ready.filter(good).join(broken, "document_name", "left_semi")
-        runs.record_documents(partial, manifest, batch_id, run_ts, "partial")
+        runs.put_batch(ready.filter(~good), f"{workspace}/quarantine", batch_id)
+    names = ready if documents is None else documents
+    names = names.select("document_name").distinct()
+    if valid or settings.replace_document:
+        store.upsert(ready.filter(good), settings.replace_document, stored=True, documents=names)
+    # A document with broken chunks is partial if it has others, and not recorded if not.
+    held = ready.groupBy("document_name").agg(F.count_if(good).alias("n_chunks"), F.count_if(~good).alias("broken"))
+    rows = names.join(held, "document_name", "left").fillna(0, ["n_chunks", "broken"])
+    rows = rows.filter("n_chunks > 0 or broken = 0").withColumn(
+        "status", F.when(F.col("broken") > 0, "partial").otherwise("success"))
+    runs.record_documents(rows, f"{workspace}/manifest", batch_id, run_ts)
+    if total == 0:
+        runs.write_log(spark, f"{workspace}/run_log", "finished", [*lines, "no chunks"], run_ts, batch_id)
+        return Result("empty")
     status = "success" if valid == total else "partial"
     lines += [f"indexed: {valid}/{total}", f"status: {status}"]
-    runs.write_log(spark, f"{workspace}/run_log", status, lines, run_ts)
+    runs.write_log(spark, f"{workspace}/run_log", status, lines, run_ts, batch_id)
     return Result(status, total, valid, total - valid)
 
 
 def ingest_elements(
     elements: DataFrame, store: ChunkStore, workspace: str, batch_id: str, run_ts: datetime,
-    settings: Settings = Settings(), resume: bool = False,
+    settings: Settings = Settings(), resume: bool = False, documents: DataFrame | None = None,
 ) -> Result:
-    """Ordered elements to indexed chunks; ``resume`` skips documents already recorded."""
+    """Ordered elements to indexed chunks; ``resume`` skips documents already recorded.
+
+    ``documents`` names the batch's documents if some may have no element.
+    """
     if resume:
         manifest = runs.read_manifest(elements.sparkSession, f"{workspace}/manifest")
         elements = runs.pending_documents(elements, manifest)
     store.create()
     chunks = chunks_from(elements, settings, run_ts)
-    return index_chunks(chunks, store, settings, workspace, batch_id, run_ts)
+    names = elements if documents is None else documents
+    return index_chunks(chunks, store, settings, workspace, batch_id, run_ts, names)
 
 
 def ingest_files(
@@ -116,7 +125,7 @@ def ingest_files(
     if resume:
         files = runs.pending_documents(files, runs.read_manifest(spark, f"{workspace}/manifest"))
     if files.isEmpty():
-        runs.write_log(spark, f"{workspace}/run_log", "finished", ["no files"], run_ts)
+        runs.write_log(spark, f"{workspace}/run_log", "finished", ["no files"], run_ts, batch_id)
         return Result("empty")
     unsupported = elements_of.unsupported_files(files, settings.parsers).select(
         "document_name", F.concat(F.lit("no parser for "), "document_type").alias("reason"))
@@ -127,13 +136,15 @@ def ingest_files(
             raise ValueError(f"{first.document_name}: {first.reason}")
     else:
         files, missing = files_of.split_missing_content(files)
+        files = files.filter(F.col("document_type").isin(*elements_of.BUILT_IN, *settings.parsers))
         rejected = unsupported.unionByName(missing)
-        rejected.write.mode("append").json(f"{workspace}/rejected_files")
+        runs.put_batch(rejected, f"{workspace}/rejected_files", batch_id, "json")
     # Stored, so that files are read and parsed once however often chunking looks at them.
     path = f"{workspace}/elements/{batch_id}"
     elements_of.to_elements(files, settings.parsers).write.mode("overwrite").parquet(path)
     elements = spark.read.schema(schema.ELEMENTS).parquet(path)
-    return ingest_elements(elements, store, workspace, batch_id, run_ts, settings)
+    return ingest_elements(
+        elements, store, workspace, batch_id, run_ts, settings, documents=files.select("document_name"))
 
 
 def index_chunk_files(
@@ -143,7 +154,7 @@ def index_chunk_files(
     """Chunk JSON prepared elsewhere to indexed chunks."""
     given = files_of.read_chunk_json(spark, path)
     if given.isEmpty():
-        runs.write_log(spark, f"{workspace}/run_log", "finished", ["no chunks"], run_ts)
+        runs.write_log(spark, f"{workspace}/run_log", "finished", ["no chunks"], run_ts, batch_id)
         return Result("empty")
     store.create()
     return index_chunks(normalize_chunks(given), store, settings, workspace, batch_id, run_ts)

@@ -27,15 +27,19 @@ TURNS = """
         text, cast(turn + 1 as bigint) as page_no
     from conversations
 """
-PAGES = r"""
+BLOCK_TAGS = "title h1 h2 h3 h4 h5 h6 p li pre table".split()
+BLOCK_PATTERN = "(?is)" + "|".join(rf"<{t}(?:\s[^>]*)?>.*?</{t}\s*>" for t in BLOCK_TAGS) + r"|<img(?:\s[^>]*)?>"
+PAGES = rf"""
     select document_name, pos,
-        case when block like '<title%' then 'title' when block like '<h1%' then 'section_header'
-            when block like '<li%' then 'list_item' else 'text' end as label,
-        regexp_replace(block, '<[^>]+>', '', 'g') as text, cast(null as bigint) as page_no
-    from (select cast(page_id as varchar) as document_name, unnest(blocks) as block,
+        case tag when 'title' then 'title' when 'p' then 'text' when 'li' then 'list_item' when 'pre' then 'code'
+            when 'table' then 'table' when 'img' then 'picture' else 'section_header' end as label,
+        case tag when 'img' then regexp_extract(block, '(?i)\salt\s*=\s*"([^"]*)"', 1)
+            else regexp_replace(block, '<[^>]+>', '', 'g') end as text,
+        cast(null as bigint) as page_no
+    from (select *, lower(regexp_extract(block, '^<(\w+)', 1)) as tag from (
+        select cast(page_id as varchar) as document_name, unnest(blocks) as block,
             cast(generate_subscripts(blocks, 1) - 1 as bigint) as pos
-        from (select page_id, regexp_extract_all(
-                html, '(?s)<(?:title|h1|p|li)[^>]*>.*?</(?:title|h1|p|li)>') as blocks from pages))
+        from (select page_id, regexp_extract_all(html, '{BLOCK_PATTERN}') as blocks from pages)))
 """
 
 
@@ -276,7 +280,7 @@ ORACLES = {
         count(*) filter (len(list_filter(embedding, lambda x: x <> 0)) > 0) as nonzero
         from embeddings group by 1""",
     "attach_vectors": """select doc_id, lang, round(list_sum(cast(embedding as double[])), 5) as total
-        from documents join embeddings on doc_id = vec_id""",
+        from documents join embeddings on doc_id % (select count(*) from embeddings) = vec_id""",
     "postings": f"""select term, count(distinct doc_id) as documents, count(*) as occurrences
         from (select doc_id, unnest({tokens('text')}) as term from documents) group by 1""",
     "bm25_topk": f"{FOLDED_DOCUMENTS} {ranked(SUMMED, 10)}",
@@ -287,11 +291,11 @@ ORACLES = {
     "knn_approximate": CENTROIDS + f""", {PLANES},
         homes as (select vec_id, sum(case when list_dot_product(cast(embedding as double[]), plane) >= 0
             then 1 << bit else 0 end)::int as cell from embeddings, planes group by 1),
-        probes as (select distinct xor(cell, flip) as cell from
+        probes as (select distinct query_id, xor(cell, flip) as cell from
             (select query_id, sum(case when list_dot_product(q, plane) >= 0 then 1 << bit else 0 end)::int
                 as cell from queries, planes group by 1),
             (select 0 as flip union all select (1 << b)::int from range(6) r(b)))
-        """ + nearest("vec_id in (select vec_id from homes join probes using (cell))"),
+        """ + nearest("(query_id, vec_id) in (select query_id, vec_id from homes join probes using (cell))"),
     "hybrid_topk": f"""
         with {bm25(DOCUMENTS)},
         dv as (select id, list({{'b': bucket, 'w': weight}}) as v from ({hashed('documents', 'doc_id')}) group by 1),

@@ -192,10 +192,11 @@ def dim_check(spark, folder):
 
 
 def attach_vectors(spark, folder):
-    vectors = C.table(spark, folder, "embeddings").withColumnRenamed("vec_id", "doc_id")
-    documents = C.table(spark, folder, "documents").join(
-        vectors.select("doc_id"), "doc_id", "left_semi")
-    joined = M.attach_vectors(documents, vectors, ["doc_id"], "embedding")
+    """Every document with the vector whose number its own gives, counted round."""
+    vectors = C.table(spark, folder, "embeddings").select(F.col("vec_id").alias("vector_no"), "embedding")
+    documents = C.table(spark, folder, "documents").withColumn(
+        "vector_no", F.col("doc_id") % F.lit(vectors.count()))
+    joined = M.attach_vectors(documents, vectors, ["vector_no"], "embedding")
     total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double"))
     return joined.select("doc_id", "lang", F.round(total, 5).alias("total"))
 

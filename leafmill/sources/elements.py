@@ -3,12 +3,18 @@
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from leafmill import schema
 from leafmill.functions import text as X
 
-PAGE_TAGS = r"(?s)<(?:title|h1|p|li)[^>]*>.*?</(?:title|h1|p|li)>"
+PAGE_LABELS = {
+    "title": "title", **{f"h{n}": "section_header" for n in range(1, 7)}, "p": "text",
+    "li": "list_item", "pre": "code", "table": "table",
+}
+# A block reaches to its own closing tag; a tag's name ends at white space or the bracket.
+PAGE_TAGS = "(?is)" + "|".join(
+    rf"<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>" for tag in PAGE_LABELS) + r"|<img(?:\s[^>]*)?>"
 MARKDOWN_BLOCKS = r"(?ms)^```.*?^```[^\n]*$|^[^\n]+$"
 LINES_PER_PAGE = 10
 
@@ -36,20 +42,19 @@ def line_elements(documents: DataFrame, name: str = "doc_id", text: str = "text"
 
 
 def page_elements(pages: DataFrame, name: str = "page_id", html: str = "html") -> DataFrame:
-    """HTML: titles, headings, paragraphs and list items, stripped of their tags."""
+    """HTML: titles, headings, paragraphs, list items, preformatted text and tables, stripped of
+    their tags, and images by their alternative text."""
     blocks = pages.select(
         F.col(name).alias("name"),
         F.posexplode(F.regexp_extract_all(html, F.lit(PAGE_TAGS), F.lit(0))).alias("pos", "block"),
     )
-    tag = F.regexp_extract("block", r"^<(title|h1|p|li)", 1)
-    label = (
-        F.when(tag == "title", "title").when(tag == "h1", "section_header")
-        .when(tag == "li", "list_item").otherwise("text")
-    )
-    return blocks.select(_elements(
-        F.col("name"), F.col("pos"), label, F.regexp_replace("block", "<[^>]+>", ""),
-        F.lit(None),
-    ))
+    tag = F.lower(F.regexp_extract("block", r"^<(\w+)", 1))
+    label = F.when(tag == "img", "picture")
+    for known, kind in PAGE_LABELS.items():
+        label = label.when(tag == known, kind)
+    text = F.when(tag == "img", F.regexp_extract("block", r'(?i)\salt\s*=\s*"([^"]*)"', 1)).otherwise(
+        F.regexp_replace("block", "<[^>]+>", ""))
+    return blocks.select(_elements(F.col("name"), F.col("pos"), label, text, F.lit(None)))
 
 
 def markdown_elements(documents: DataFrame, name: str = "doc_id", text: str = "text") -> DataFrame:
@@ -127,11 +132,10 @@ def to_elements(
     ``unsupported_files``.
     """
     parsers = parsers or {}
-    decoded: Column = F.decode("content", "UTF-8").alias("text")
     parts = []
     for kind, build in BUILT_IN.items():
         if kind not in parsers:
-            texts = files.filter(F.col("document_type") == kind).select("document_name", decoded)
+            texts = files.filter(F.col("document_type") == kind).select("document_name", F.decode("content", "UTF-8").alias("text"))
             parts.append(build(texts, "document_name", "text"))
     for kind, parser in parsers.items():
         parts.append(parsed_elements(files.filter(F.col("document_type") == kind), parser))

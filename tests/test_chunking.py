@@ -120,6 +120,17 @@ def test_short_documents_take_the_short_path(spark, tmp_path):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_a_long_document_shuffles_texts_once(spark, tmp_path):
+    path = str(tmp_path / "elements")
+    rows = random_documents(4) | {"long": [("text", f"w{i} x", 1) for i in range(700)]}
+    frame(spark, rows).write.parquet(path)
+    df = chunk_elements(spark.read.schema(ELEMENTS).parquet(path), 9, 2)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    wide = [line for line in final.splitlines() if "FileScan" in line and "text" in line.split("Batched")[0]]
+    assert len(wide) == 1
+
+
 @pytest.mark.parametrize("mode,expected", [
     ("stem", "r.v2_chunk_0000"), ("path", "in/r.v2_chunk_0000")])
 def test_ids(spark, mode, expected):

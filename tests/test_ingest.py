@@ -10,7 +10,7 @@ from leafmill.operators.embedding import (
 )
 from leafmill.operators.search import search_hybrid, with_source
 from leafmill.operators.embedding import embed_queries
-from leafmill.plans.ingest import Settings, index_chunk_files, ingest_files
+from leafmill.plans.ingest import Settings, index_chunk_files, ingest_elements, ingest_files
 from leafmill.sources import elements as L, files as S, runs
 from leafmill.sources.store import ChunkStore
 from leafmill.streaming.incremental import ingest_new_files
@@ -191,3 +191,52 @@ def test_stream(spark, folder, tmp_path):
     (folder / "later.txt").write_text("Later text")
     ingest_new_files(spark, str(folder), store, work, settings, "*.txt", 5).awaitTermination()
     assert {r.chunk_id for r in store.read().collect()} == first | {"later_chunk_0000"}
+
+
+def test_emptied_document_and_rerun(spark, tmp_path):
+    store, work = place(tmp_path, spark)
+    columns = "document_name string, pos int, label string, text string, page_no int"
+
+    def run(rows, batch):
+        return ingest_elements(spark.createDataFrame(rows, columns), store, work, batch, RUN, Settings(size=3))
+
+    run([("a", 0, "text", "one two three four", 1), ("b", 0, "text", "five six", 1)], "b1")
+    run([("a", 0, "text", "  ", 1)], "b2")
+    run([("a", 0, "text", "  ", 1)], "b2")
+    assert {r.document_name for r in store.read().collect()} == {"b"}
+    rows = runs.read_manifest(spark, f"{work}/manifest").orderBy("batch_id", "document_name").collect()
+    assert [(r.batch_id, r.document_name, r.status, r.n_chunks) for r in rows] == [
+        ("b1", "a", "success", 2), ("b1", "b", "success", 1), ("b2", "a", "success", 0)]
+
+
+def test_one_provider_per_worker_process(spark, tmp_path):
+    import os
+    import uuid
+
+    folder, key = str(tmp_path), str(uuid.uuid4())
+
+    def build():
+        with open(f"{folder}/{os.getpid()}-{uuid.uuid4()}", "w"):
+            pass
+        return lambda texts: [[float(os.getpid())] for _ in texts]
+
+    vector = provider_embedding(F.col("text"), key, build)
+    rows = spark.range(0, 1200, 1, 12).select(F.col("id").cast("string").alias("text"))
+    pids = {r[0] for r in rows.select(vector.getItem(0)).collect()}
+    assert len(os.listdir(folder)) == len(pids)
+
+
+def test_attach_vectors_wants_one(spark):
+    chunks = spark.createDataFrame([("a", 0)], "document_name string, chunk_index int")
+    two = spark.createDataFrame([("a", 0, [1.0]), ("a", 0, [2.0])], "document_name string, chunk_index int, chunk_embedding array<float>")
+    with pytest.raises(Exception, match="several vectors"):
+        attach_vectors(chunks, two).collect()
+
+
+def test_html_tags(spark):
+    html = ("<head><link rel='x'><title>T</title></head><H1 class='a'>Head</H1><h3>Sub</h3><pre>code</pre><p>one</p>"
+            "<picture></picture><table><tr><td>1</td></tr></table><img src='x' alt=\"A cat\"><ul><li>item</li></ul>")
+    found = L.page_elements(spark.createDataFrame([(1, html)], "page_id long, html string")).orderBy("pos")
+    assert [(r.label, r.text) for r in found.collect()] == [
+        ("title", "T"), ("section_header", "Head"), ("section_header", "Sub"), ("code", "code"), ("text", "one"),
+        ("table", "1"), ("picture", "A cat"), ("list_item", "item")]

@@ -64,10 +64,39 @@ def test_a_small_batch_rewrites_few_buckets(spark, tmp_path):
     before = store._current()
     version = store.upsert(chunks(spark, [("d7_chunk_0000", "d7", "y")]))
     after = store._current()
-    assert sum(v == version for v in after.values()) == 1
+    assert sum(v == [version] for v in after.values()) == 1
     assert sum(before[b] == after[b] for b in before) == len(before) - 1
 
 
+def test_new_rows_are_appended(spark, tmp_path):
+    store = ChunkStore(spark, str(tmp_path / "index"), buckets=8)
+    old = spark.range(2000).select(
+        F.format_string("d%d_chunk_0000", "id").alias("chunk_id"), F.concat(F.lit("d"), "id").alias("document_name"), F.lit("x").alias("chunk_text"))
+    store.upsert(schema.conform(old, schema.CHUNKS), replace_document=True)
+    version = store.upsert(chunks(spark, [(f"e{d}_chunk_0000", f"e{d}", "y") for d in range(300)]), replace_document=True)
+    assert spark.read.parquet(f"{tmp_path}/index/data/version={version}").count() == 300
+    assert store.read().count() == 2300
+    assert max(map(len, store._current().values())) == 2
+    store.compact(1)
+    assert store.read().count() == 2300 and max(map(len, store._current().values())) == 1
+
+
+def test_the_number_of_buckets_is_kept(spark, tmp_path):
+    path = str(tmp_path / "index")
+    ChunkStore(spark, path, buckets=4).upsert(chunks(spark, [("a_chunk_0000", "a", "x")]))
+    with pytest.raises(ValueError, match="4 buckets"):
+        ChunkStore(spark, path, buckets=8)
+    assert ChunkStore(spark, path).buckets == 4
+
+
+def test_documents_without_chunks_lose_theirs(spark, tmp_path):
+    store = ChunkStore(spark, str(tmp_path / "index"), buckets=4)
+    store.upsert(chunks(spark, [("a_chunk_0000", "a", "x"), ("b_chunk_0000", "b", "x")]))
+    names = spark.createDataFrame([("a",)], "document_name string")
+    store.upsert(chunks(spark, [("c_chunk_0000", "c", "x")]).limit(0), replace_document=True, documents=names)
+    assert contents(store) == [("b_chunk_0000", "x")]
+
+
 def test_last_row_of_a_key_wins(spark):
     early = chunks(spark, [("a", "a", "1"), ("b", "b", "1")])
     late = chunks(spark, [("a", "a", "2")] * 50, minute=5)
