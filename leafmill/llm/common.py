@@ -66,13 +66,54 @@ def shingle_hashes(words: list[bytes], hashes: WordHashes, width: int = SHINGLE)
 
     Fewer words than ``width`` make one shingle of their whole sequence; no word makes none.
     """
-    if not words:
+    return _windows_of(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)), width)
+
+
+_BLANK = np.zeros(256, bool)
+_BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: A random 64-bit number for each byte, and the powers and inverse powers of an odd base, longer as needed.
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
+_BASE = 0x9E3779B97F4A7C15
+_POWERS = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if len(_POWERS["up"]) < n:
+        size = max(1 << 16, 1 << n.bit_length())
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            factors = np.full(size, base, np.uint64)
+            factors[0] = 1
+            _POWERS[name] = np.multiply.accumulate(factors)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def word_hashes(text: bytes | None) -> np.ndarray:
+    """A 64-bit hash of each word of ``words_of``, computed over all bytes at once."""
+    if not text:
         return np.empty(0, np.uint64)
-    ids = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    span = min(width, len(words))
+    a = np.frombuffer(text.lower(), np.uint8)
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], _BLANK[a], [True]]).view(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    if not len(start):
+        return np.empty(0, np.uint64)
+    up, down = _powers(len(a))
+    sums = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum(_BYTES[a] * up[:len(a)], out=sums[1:])
+    return mixed((sums[end] - sums[start]) * down[start])
+
+
+def text_shingles(text: bytes | None, width: int = SHINGLE) -> np.ndarray:
+    """Hashes of a text's shingles, in order, as ``shingle_hashes`` forms them but from ``word_hashes``."""
+    return _windows_of(word_hashes(text), width)
+
+
+def _windows_of(ids: np.ndarray, width: int) -> np.ndarray:
+    if not len(ids):
+        return ids
+    span = min(width, len(ids))
     out = np.full(len(ids) - span + 1, span, np.uint64)
     for k in range(span):
-        out *= np.uint64(0x9E3779B97F4A7C15)
+        out *= np.uint64(_BASE)
         out += ids[k:len(ids) - span + 1 + k]
         out ^= out >> np.uint64(29)
     return mixed(out)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leafmill.llm.common import WordHashes, raw, saved, shingle_hashes, stored, words_of
+from leafmill.llm.common import raw, saved, stored, text_shingles
 from leafmill.llm.components import components
 
 #: Similarity as a fraction: 100 x intersection >= 80 x union.
@@ -41,8 +41,8 @@ FILTER_BITS = 1 << 23
 NODE = "struct<sig: long, n: int>"
 
 
-def shingle_set(text: bytes | None, hashes: WordHashes) -> np.ndarray:
-    return np.unique(shingle_hashes(words_of(text), hashes))
+def shingle_set(text: bytes | None) -> np.ndarray:
+    return np.unique(text_shingles(text))
 
 
 def signature(values: np.ndarray) -> int:
@@ -69,46 +69,53 @@ def point(values: np.ndarray) -> np.ndarray:
     return counts.astype(np.uint32)
 
 
-def _nodes(batches):
-    hashes = WordHashes()
-    for batch in batches:
-        ids, sig, sizes = batch.column(0), [], []
-        for text in raw(batch, "text"):
-            values = shingle_set(text, hashes)
-            sig.append(signature(values))
-            sizes.append(len(values))
-        yield pa.RecordBatch.from_arrays(
-            [ids, batch.column(2), pa.array(sig, pa.int64()), pa.array(sizes, pa.int32())], ["doc_id", "text_key", "sig", "n"])
+_ROW = "doc_id long, text_key long, sig long, n int, point binary, token long, times long"
 
 
-def _common(batches):
-    """Shingles that several different sets of a batch hold, with their number."""
-    hashes = WordHashes()
+def _described(batches):
+    """A row per text: its node and point. And rows of shingles that several different sets of a batch hold."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    schema = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, _ROW.split(", "))])
     for batch in batches:
-        texts = raw(batch, "text")
-        held, seen, size = [], set(), 0
-        for i, text in enumerate(texts):
-            values = shingle_set(text, hashes)
+        sigs, sizes, points, held, seen, size = [], [], [], [], set(), 0
+        common = []
+        for text in raw(batch, "text"):
+            values = shingle_set(text)
             sig = signature(values)
+            sigs.append(sig)
+            sizes.append(len(values))
+            points.append(point(values).tobytes() if len(values) else None)
             if sig not in seen:
                 seen.add(sig)
                 held.append(values)
                 size += len(values)
-            if held and (size > 4_000_000 or i == len(texts) - 1):
-                values, counts = np.unique(np.concatenate(held), return_counts=True)
-                often = counts >= COMMON_IN_BATCH
-                if often.any():
-                    yield pa.RecordBatch.from_pydict({"token": values[often].view(np.int64), "n": counts[often].astype(np.int64)})
+            if size > 2_000_000:
+                common.append(_repeated(held))
                 held, size = [], 0
+        if held:
+            common.append(_repeated(held))
+        none = pa.nulls(len(sigs), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(2), pa.array(sigs, pa.int64()), pa.array(sizes, pa.int32()), pa.array(points, pa.binary()), none, none], schema=schema)
+        for values, counts in common:
+            if len(values):
+                blank = [pa.nulls(len(values), schema.field(k).type) for k in range(5)]
+                yield pa.RecordBatch.from_arrays([*blank, pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], schema=schema)
+
+
+def _repeated(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    values, counts = np.unique(np.concatenate(sets), return_counts=True)
+    often = counts >= COMMON_IN_BATCH
+    return values[often], counts[often]
 
 
 def _prefixes(common: np.ndarray):
     def run(batches):
-        hashes, done = WordHashes(), set()
+        done = set()
         for batch in batches:
             tokens, sigs, sizes = [], [], []
             for text in raw(batch, "text"):
-                values = shingle_set(text, hashes)
+                values = shingle_set(text)
                 n = len(values)
                 sig = signature(values)
                 if not n or (sig, n) in done:
@@ -172,20 +179,21 @@ def _shared(batches):
 
 
 def _sets(bits: np.ndarray):
-    """Set and point of the documents that the filter names; one row per set and task."""
+    """Sets of the texts whose key the filter names; one row per set and task."""
     def run(batches):
-        hashes, done = WordHashes(), set()
+        done = set()
         for batch in batches:
+            slots = batch.column(1).to_numpy() % FILTER_BITS
+            named = np.flatnonzero(bits[slots >> 6] >> (slots & 63).astype(np.uint64) & np.uint64(1))
             out = []
-            for text in raw(batch, "text"):
-                values = shingle_set(text, hashes)
-                sig = signature(values)
-                slot = sig % FILTER_BITS
-                if not bits[slot >> 6] >> np.uint64(slot & 63) & np.uint64(1) or (sig, len(values)) in done:
+            for text in raw(batch.take(pa.array(named)), "text"):
+                values = shingle_set(text)
+                node = signature(values), len(values)
+                if node in done:
                     continue
                 if len(done) < 200_000:
-                    done.add((sig, len(values)))
-                out.append(({"sig": sig, "n": len(values)}, point(values).tobytes(), values.tobytes()))
+                    done.add(node)
+                out.append(({"sig": node[0], "n": node[1]}, values.tobytes()))
                 if len(out) == 500:
                     yield _set_rows(out)
                     out = []
@@ -195,11 +203,24 @@ def _sets(bits: np.ndarray):
     return run
 
 
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit for each value of ``key``, modulo ``FILTER_BITS``: a table of fixed size, whatever the number of keys.
+
+    Texts that it names beyond those are only computed in vain.
+    """
+    slot = F.pmod("key", F.lit(FILTER_BITS))
+    words = keys.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, int(slot & 63))")).alias("word"))
+    bits = np.zeros(FILTER_BITS // 64, np.int64)
+    for r in words.collect():  # at most FILTER_BITS / 64 rows
+        bits[r["at"]] = r["word"]
+    return bits.view(np.uint64)
+
+
 def _set_rows(out):
-    nodes, points, sets = zip(*out, strict=True)
+    nodes, sets = zip(*out, strict=True)
     return pa.RecordBatch.from_pydict({
-        "node": pa.array(nodes, pa.struct([("sig", pa.int64()), ("n", pa.int32())])), "point": pa.array(points, pa.binary()),
-        "set": pa.array(sets, pa.binary())})
+        "node": pa.array(nodes, pa.struct([("sig", pa.int64()), ("n", pa.int32())])), "set": pa.array(sets, pa.binary())})
 
 
 def _bounded(batches):
@@ -223,18 +244,24 @@ def _verified(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links: first by their points, then by their sets."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def links(pairs: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links: first by their points, then by the sets of those that are left.
+
+    ``nodes``: node, point, text_key; ``texts``: text, text_key.
+    """
     schema = f"a {NODE}, b {NODE}"
 
-    def both(pairs, column):
-        x = sets.select(F.col("node").alias("a"), F.col(column).alias("x"))
-        y = sets.select(F.col("node").alias("b"), F.col(column).alias("y"))
+    def both(pairs, table, column):
+        x = table.select(F.col("node").alias("a"), F.col(column).alias("x"))
+        y = table.select(F.col("node").alias("b"), F.col(column).alias("y"))
         return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
 
-    near = both(pairs, "point").mapInArrow(_bounded, schema)
-    return both(near, "set").mapInArrow(_verified, schema)
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = saved(both(pairs, nodes, "point").mapInArrow(_bounded, schema))
+    ends = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    keys = nodes.select("node", F.col("text_key").alias("key")).join(ends, "node", "left_semi")
+    sets = saved(texts.mapInArrow(_sets(key_filter(keys)), f"node {NODE}, set binary").join(ends, "node", "left_semi").dropDuplicates(["node"]))
+    return stored(both(near, sets, "set").mapInArrow(_verified, schema))
 
 
 def tree_leaves(points: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
@@ -323,6 +350,17 @@ def _node(sig: str, place: str):
     return F.struct(F.col(sig).alias("sig"), F.shiftright(place, 32).cast("int").alias("n"))
 
 
+def _pos(place: str):
+    return F.col(place).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _may_link(a: str, p: str, b: str, q: str) -> str:
+    """Different nodes whose sizes allow a link, and whose places do if the shingle is their first common one."""
+    n, m = f"{a}.n", f"{b}.n"
+    return (f"{a} != {b} and {DENOMINATOR} * {n} >= {NUMERATOR} * {m} and {DENOMINATOR} * {m} >= {NUMERATOR} * {n} "
+            f"and {NUMERATOR + DENOMINATOR} * least({n} - {p}, {m} - {q}) >= {NUMERATOR} * ({n} + {m})")
+
+
 def join(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, text_key (a hash of the text) of every row of ``docs`` (doc_id, text).
 
@@ -331,52 +369,44 @@ def join(docs: DataFrame) -> DataFrame:
     nothing. Repeated rows are copies of each other. Null ids are not smallest unless all are null. Shingles and sets are told by 64-bit hashes, sets by their size as well.
     """
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
-    texts = docs.select("text").where(F.col("text").isNotNull())
-    rows = stored(docs.mapInArrow(_nodes, "doc_id long, text_key long, sig long, n int"))
-
-    often = texts.mapInArrow(_common, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    top = often.orderBy(F.desc("n"), "token").limit(COMMON).select("token")
+    texts = docs.select("text", "text_key").where(F.col("text").isNotNull())
+    described = saved(docs.mapInArrow(_described, _ROW))
+    rows = described.where("token is null").select("doc_id", "text_key", F.struct("sig", "n").alias("node"), "point")
+    nodes = saved(rows.where("node.n > 0").groupBy("node").agg(
+        F.min("text_key").alias("text_key"), F.first("point").alias("point")))
+
+    often = described.where("token is not null").groupBy("token").agg(F.sum("times").alias("times"))
+    top = often.orderBy(F.desc("times"), "token").limit(COMMON).select("token")
     common = np.sort(np.array([r[0] for r in top.collect()], np.int64).view(np.uint64))
 
-    prefixes = texts.mapInArrow(_prefixes(common), "token long, sig long, place long")
+    prefixes = texts.select("text").mapInArrow(_prefixes(common), "token long, sig long, place long")
     ordered = prefixes.repartition("token").sortWithinPartitions("token", "place", "sig")
     shared = saved(ordered.mapInArrow(_shared, "token long, sig long, place long, hub_sig long, hub_place long, prev_sig long, prev_place long"))
     shared = shared.select(
-        "token", _node("sig", "place").alias("node"), (F.col("place").bitwiseAND(F.lit((1 << 32) - 1))).cast("int").alias("pos"),
-        _node("hub_sig", "hub_place").alias("hub"), _node("prev_sig", "prev_place").alias("prev"))
-
-    slot = F.pmod(F.col("node.sig"), F.lit(FILTER_BITS))
-    words = (shared.select("node").distinct().groupBy(F.shiftright(slot, 6).cast("int").alias("at"))
-             .agg(F.bit_or(F.expr(f"shiftleft(1L, int(pmod(node.sig, {FILTER_BITS}) & 63))")).alias("word")))
-    bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for r in words.collect():  # at most FILTER_BITS / 64 rows
-        bits[r["at"]] = r["word"]
-    sets = texts.mapInArrow(_sets(bits.view(np.uint64)), f"node {NODE}, point binary, set binary")
-    sets = saved(sets.dropDuplicates(["node"]))
+        "token", _node("sig", "place").alias("node"), _pos("place").alias("pos"), _node("hub_sig", "hub_place").alias("hub"),
+        _pos("hub_place").alias("hub_pos"), _node("prev_sig", "prev_place").alias("prev"), _pos("prev_place").alias("prev_pos"))
 
-    fits = f"{DENOMINATOR} * b.n >= {NUMERATOR} * a.n and {DENOMINATOR} * a.n >= {NUMERATOR} * b.n and a != b"
-    star = [shared.select(F.col("node").alias("a"), F.col(c).alias("b")).where(fits) for c in ("hub", "prev")]
-    first = stored(links(star[0].unionByName(star[1]), sets))
+    star = [shared.where(_may_link("node", "pos", c, f"{c}_pos")).select(F.col("node").alias("a"), F.col(c).alias("b")) for c in ("hub", "prev")]
+    first = links(star[0].unionByName(star[1]), nodes, texts)
     parts = components(first)
 
     rest = shared.select("token", "node", "pos").join(parts, "node", "left").select(
         "token", "node", "pos", F.coalesce("component", "node").alias("part"))
-    rest = stored(rest)
     several = rest.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("rows")).where("low != high")
     blocks = several.select("token", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
     open_ = rest.join(blocks, "token").withColumn("cell", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     open_ = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     open_ = open_.select("token", "node", "pos", "part", "cell", F.least("cell", "other").alias("block"), F.greatest("cell", "other").alias("other"))
-    open_ = open_.join(sets.select("node", "point"), "node")
+    open_ = open_.join(nodes.select("node", "point"), "node")
     open_ = open_.repartition("token", "block", "other").sortWithinPartitions("token", "block", "other")
-    second = links(open_.mapInArrow(_joined, f"a {NODE}, b {NODE}"), sets)
+    second = links(open_.mapInArrow(_joined, f"a {NODE}, b {NODE}"), nodes, texts)
 
     whole = components(first.unionByName(second))
-    key = F.struct("sig", "n")
-    rows = rows.join(whole.withColumnRenamed("node", "key"), key == F.col("key"), "left").withColumn("part", F.coalesce("component", key))
-    smallest = rows.where("n > 0").groupBy("part").agg(F.min("doc_id").alias("smallest"))
-    found = rows.where("n > 0").join(smallest, "part").select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("smallest").alias("component_id"), "text_key")
-    alone = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key")
+    named = rows.where("node.n > 0").drop("point").join(whole, "node", "left").withColumn("part", F.coalesce("component", "node"))
+    smallest = named.groupBy("part").agg(F.min("doc_id").alias("smallest"))
+    found = named.join(smallest, "part").select(
+        "doc_id", F.col("node.n").cast("long").alias("n_shingles"), F.col("smallest").alias("component_id"), "text_key")
+    alone = rows.where("node.n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_key")
     return found.unionByName(alone)
 
 
