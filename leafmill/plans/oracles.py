@@ -214,6 +214,24 @@ PLANES = """
         from range(6) b(bit), range(64) p(place) group by bit)
 """
 
+SOURCE_LINES = """
+    select source as document_name, pos, case
+            when n = 0 and doc_id % 10 = 0 then 'section_header' when contains(line, ' | ') then 'table'
+            when contains(line, '%%%') then 'code' when contains(line, '***') then 'picture' else 'text' end as label,
+        line as text, cast(pos // 10 + 1 as bigint) as page_no
+    from (select *, cast(row_number() over (partition by source order by doc_id, n) - 1 as bigint) as pos
+        from (select source, doc_id, unnest(string_split(text, chr(10))) as line,
+            generate_subscripts(string_split(text, chr(10)), 1) - 1 as n from documents))
+"""
+
+TURN_ROWS = """
+    select conv_id, role, printf('%d_chunk_%04d', conv_id, turn) as chunk_id, cast(conv_id as varchar) as document_name,
+        text as chunk_text, cast(turn as bigint) as chunk_index,
+        max(case when role = 'system' then 1 else 0 end) over (partition by conv_id) as led,
+        count(*) over (partition by conv_id) as turns
+    from conversations
+"""
+
 FOLDED_DOCUMENTS = f"with {bm25(DOCUMENTS)}"
 
 ORACLES = {
@@ -288,6 +306,19 @@ ORACLES = {
     "knn_topk": CENTROIDS + nearest(),
     "knn_filtered": CENTROIDS + nearest("label = 3"),
     "knn_min_score": CENTROIDS + nearest(least=0.7),
+    "knn_many": "with queries as (select vec_id as query_id, cast(embedding as double[]) as q from embeddings)" + nearest(k=3),
+    "zero_vectors": """select label, count(*) filter (label <> 3) as nonzero, count(*) filter (label <> 3) as valid,
+        count(*) as vectors from embeddings group by 1""",
+    "chunk_long": chunks(SOURCE_LINES, 64, 8),
+    "store_upsert_replace": f"""select chunk_id, document_name,
+            case when led = 1 then chunk_text || ' again' else chunk_text end as chunk_text, chunk_index
+        from ({TURN_ROWS}) where (led = 0 and turns > 1) or (led = 1 and role <> 'user')""",
+    "store_delete": f"select chunk_id, document_name, chunk_text, chunk_index from ({TURN_ROWS}) where led = 0",
+    "store_counts": f"""select 'before' as state, cast(0 as bigint) as document_count
+        union all select 'filled', count(*) from conversations
+        union all select 'deleted', count(*) from ({TURN_ROWS}) where led = 0""",
+    "run_manifest": f"""select 'only' as batch_id, document_name, 'success' as status, count(*) as n_chunks
+        from ({TURN_CHUNKS}) group by document_name""",
     "knn_approximate": CENTROIDS + f""", {PLANES},
         homes as (select vec_id, sum(case when list_dot_product(cast(embedding as double[]), plane) >= 0
             then 1 << bit else 0 end)::int as cell from embeddings, planes group by 1),

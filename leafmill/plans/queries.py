@@ -6,11 +6,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leafmill.functions import entities as E, text as X, vectors as V
+from leafmill import schema
 from leafmill.operators import embedding as M, search as R, stats as A
 from leafmill.operators.approximate import search_approximate
 from leafmill.operators.chunking import chunk_elements
 from leafmill.operators.normalize import normalize_chunks
-from leafmill.operators.ordinals import with_batch
+from leafmill.operators.ordinals import with_batch, with_ordinal
 from leafmill.plans import corpora as C
 from leafmill.plans.ingest import Settings, ingest_elements
 from leafmill.session import use_checkpoints
@@ -57,6 +58,25 @@ def chunk_pages(spark, folder):
     return _chunk_columns(chunk_elements(L.page_elements(C.texts(spark, folder, "pages")), 30, 0))
 
 
+def _source_lines(spark, folder):
+    """All lines of a source as one long document, with labels after their look."""
+    lines = C.texts(spark, folder, "documents").select(
+        "source", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    ordered = with_ordinal(lines, ["doc_id", "line_no"], ["source"], "pos")
+    line, first = F.col("line"), F.col("line_no") == 0
+    label = (F.when(first & (F.col("doc_id") % 10 == 0), "section_header")
+             .when(line.contains(" | "), "table").when(line.contains("%%%"), "code")
+             .when(line.contains("***"), "picture").otherwise("text"))
+    return ordered.select(
+        F.col("source").alias("document_name"), F.col("pos").cast("int").alias("pos"), label.alias("label"),
+        line.alias("text"), (F.floor(F.col("pos") / 10) + 1).cast("int").alias("page_no"))
+
+
+def chunk_long(spark, folder):
+    """Documents of hundreds of elements and more, chunked block by block."""
+    return _chunk_columns(chunk_elements(_source_lines(spark, folder), 64, 8))
+
+
 def _element_columns(elements):
     return elements.select(
         "document_name", F.col("pos").cast("bigint").alias("pos"), "label", "text",
@@ -337,6 +357,86 @@ def json_roundtrip(spark, folder):
     return _chunk_columns(normalize_chunks(given, number_missing=False))
 
 
+def _turn_rows(turns):
+    """Turns as ready chunks, one each."""
+    rows = turns.select(
+        F.concat_ws("_chunk_", F.col("conv_id").cast("string"), F.format_string("%04d", "turn")).alias("chunk_id"),
+        F.col("conv_id").cast("string").alias("document_name"), F.col("text").alias("chunk_text"),
+        F.col("turn").cast("int").alias("chunk_index"), F.lit(RUN).alias("processed_at"))
+    return schema.conform(rows, schema.CHUNKS)
+
+
+def _led(turns):
+    """Conversations that a system turn leads."""
+    return turns.filter("role = 'system'").select("conv_id").distinct()
+
+
+def _stored_turns(spark, folder):
+    """A store of all turns; the turns."""
+    turns = C.table(spark, folder, "conversations")
+    store = ChunkStore(spark, f"{shared_folder(spark)}/index", buckets=8)
+    store.upsert(_turn_rows(turns), replace_document=True)
+    return store, turns
+
+
+def _store_rows(store):
+    return store.read().select("chunk_id", "document_name", "chunk_text", F.col("chunk_index").cast("bigint").alias("chunk_index"))
+
+
+def store_upsert_replace(spark, folder):
+    """All turns; then led conversations again without their user turns, and those of one turn emptied."""
+    store, turns = _stored_turns(spark, folder)
+    again = turns.join(_led(turns), "conv_id", "left_semi").filter("role != 'user'")
+    single = turns.groupBy("conv_id").count().filter("count = 1").select("conv_id")
+    names = _led(turns).unionByName(single).distinct().select(F.col("conv_id").cast("string").alias("document_name"))
+    changed = _turn_rows(again.withColumn("text", F.concat("text", F.lit(" again"))))
+    store.upsert(changed.join(names, "document_name", "left_semi").select(*changed.columns), replace_document=True, documents=names)
+    return _store_rows(store)
+
+
+def store_delete(spark, folder):
+    """All turns but those of led conversations."""
+    store, turns = _stored_turns(spark, folder)
+    store.delete_documents(_led(turns).select(F.col("conv_id").cast("string").alias("document_name")))
+    return _store_rows(store)
+
+
+def store_counts(spark, folder):
+    """Rows of the store before, with all turns, and after a deletion."""
+    store, turns = _stored_turns(spark, folder)
+    counts = [("before", 0), ("filled", store.stats().first().document_count)]
+    store.delete_documents(_led(turns).select(F.col("conv_id").cast("string").alias("document_name")))
+    counts.append(("deleted", store.stats().first().document_count))
+    return spark.createDataFrame(counts, "state string, document_count bigint")
+
+
+def run_manifest(spark, folder):
+    """What a batch that ran twice leaves in the manifest."""
+    work = shared_folder(spark)
+    store = ChunkStore(spark, f"{work}/index", buckets=8)
+    elements = L.turn_elements(C.texts(spark, folder, "conversations"))
+    for _ in range(2):
+        ingest_elements(elements, store, work, "only", RUN, Settings(size=40, overlap=5, id_mode="stem"))
+    return runs.read_manifest(spark, f"{work}/manifest").select(
+        "batch_id", "document_name", "status", F.col("n_chunks").cast("bigint").alias("n_chunks"))
+
+
+def zero_vectors(spark, folder):
+    """Embeddings, those of label 3 zeroed: how many are valid, by label."""
+    rows = C.table(spark, folder, "embeddings").withColumn("embedding", F.when(
+        F.col("label") == 3, F.transform("embedding", lambda x: x * F.lit(0).cast("float"))).otherwise(F.col("embedding")))
+    return rows.groupBy("label").agg(
+        F.count_if(V.is_nonzero(F.col("embedding"))).alias("nonzero"),
+        F.count_if(M.valid_vector(64, "embedding")).alias("valid"), F.count("*").alias("vectors"))
+
+
+def knn_many(spark, folder):
+    """Every embedding as a query, in more blocks than one."""
+    index = C.vector_index(spark, folder)
+    queries = index.select(F.col("chunk_id").alias("query_id"), F.col("chunk_embedding").alias("query_vector"))
+    return _hits(R.search_vector(index, queries, 3, query_cells=1 << 14))
+
+
 def binary_scan(spark, folder):
     """The table files themselves, read whole."""
     files = S.require_content(S.read_files(spark, folder, "*.parquet"))
@@ -351,6 +451,7 @@ QUERIES = {
         dim_check, attach_vectors, postings, bm25_topk, bm25_filtered, knn_topk, knn_filtered,
         knn_min_score, knn_approximate, hybrid_topk, search_with_source, upsert_latest,
         delete_document, resume_skip, merge_metadata, batch_ids, batch_sizes,
-        ingest_conversations, index_stats, json_roundtrip, binary_scan,
+        ingest_conversations, index_stats, json_roundtrip, binary_scan, chunk_long,
+        store_upsert_replace, store_delete, store_counts, run_manifest, zero_vectors, knn_many,
     )
 }

@@ -45,7 +45,7 @@ def sql_rows(db, name):
 def main(folder, names):
     from leafmill.session import local_session
 
-    spark, db, bad = local_session(8), oracle(folder), []
+    spark, db, bad = local_session(8, spark__ui__showConsoleProgress="false"), oracle(folder), []
     for name in names or entry.queries():
         start = time.time()
         try:
