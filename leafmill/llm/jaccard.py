@@ -13,7 +13,7 @@ in the order, so they open no large group.
 
 The steps: (1) a row per document with the hash of its set, equal sets being one node from here on;
 (2) prefixes by shingle, of which those of one node only are dropped; (3) in each group of a shingle, nodes
-are paired with the smallest one and with their predecessor in size, and verified links joined to components;
+are paired with the first one and with their predecessor, and verified links joined to components;
 (4) groups that still hold several components are joined completely by their trees, leaving out pairs within a
 component; (5) components of all links.
 """
@@ -35,6 +35,8 @@ GROUPS = 64
 LEAF, BLOCK = 32, 2000
 #: Shingles held by so many documents of one batch are candidates for the end of the order, and so many are put there.
 COMMON_IN_BATCH, COMMON = 4, 200_000
+#: Nodes from which on a shingle met in prefixes is put there as well.
+COMMON_IN_PREFIXES = 8
 #: Bits of the filter that tells which documents' sets are needed.
 FILTER_BITS = 1 << 23
 
@@ -64,7 +66,7 @@ def least_shared(n, m):
 
 
 def point(values: np.ndarray) -> np.ndarray:
-    """Shingles by group; capped where they no longer fit, which only loosens the bound on sets of millions."""
+    """Shingles by group."""
     counts = np.bincount((values >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)
     return counts.astype(np.uint32)
 
@@ -138,8 +140,11 @@ def _prefixes(common: np.ndarray):
 
 
 def _shared(batches):
-    """Of rows sorted by token, place and sig: those whose token several nodes hold, with the first of
-    them and their predecessor."""
+    """Of rows sorted by token, sig and place: those whose token several nodes hold, with the first of
+    them and their predecessor.
+
+    In a group of near copies these are the same two for all of a node's shingles, so that its links stay few.
+    """
     hub = last = None  # (token, sig, place); whether the hub was put out
     shown = False
     for batch in batches:
@@ -379,8 +384,14 @@ def join(docs: DataFrame) -> DataFrame:
     top = often.orderBy(F.desc("times"), "token").limit(COMMON).select("token")
     common = np.sort(np.array([r[0] for r in top.collect()], np.int64).view(np.uint64))
 
-    prefixes = texts.select("text").mapInArrow(_prefixes(common), "token long, sig long, place long")
-    ordered = prefixes.repartition("token").sortWithinPartitions("token", "place", "sig")
+    # What batches are too small to show is seen in the prefixes of all texts.
+    prefix = "token long, sig long, place long"
+    met = texts.select("text").mapInArrow(_prefixes(common), prefix).groupBy("token").count().where(F.col("count") >= COMMON_IN_PREFIXES)
+    more = met.orderBy(F.desc("count"), "token").limit(COMMON).select("token")
+    common = np.union1d(common, np.array([r[0] for r in more.collect()], np.int64).view(np.uint64))
+
+    prefixes = texts.select("text").mapInArrow(_prefixes(common), prefix)
+    ordered = prefixes.repartition("token").sortWithinPartitions("token", "sig", "place")
     shared = saved(ordered.mapInArrow(_shared, "token long, sig long, place long, hub_sig long, hub_place long, prev_sig long, prev_place long"))
     shared = shared.select(
         "token", _node("sig", "place").alias("node"), _pos("place").alias("pos"), _node("hub_sig", "hub_place").alias("hub"),
