@@ -113,6 +113,42 @@ def test_passages_with_edits():
     assert e - s >= 112 and q - p >= 110 and 0.9 < j < 1
 
 
+def test_short_passages_with_edits():
+    rnd = random.Random(12)
+    word = lambda: str(rnd.random())
+    tokens = lambda w: shingle_hashes([t.encode() for t in w], WordHashes())
+    alike = 0
+    for n, edits in [(80, 1), (60, 1)] + [(rnd.randint(51, 100), rnd.randint(1, 3)) for _ in range(400)]:
+        one = [word() for _ in range(n)]
+        two = list(one)
+        for _ in range(edits):
+            k = rnd.randrange(len(two))
+            two[k:k + rnd.randint(0, 1)] = [word()] * rnd.randint(0, 1)
+        a, b = (set(tokens(w).tolist()) for w in (one, two))
+        if min(len(one), len(two)) < 50 or 5 * len(a & b) < 4 * len(a | b):
+            continue
+        alike += 1
+        around = [[word() for _ in range(rnd.randint(0, 40))] for _ in range(4)]
+        x, y = tokens(around[0] + one + around[1]), tokens(around[2] + two + around[3])
+        found = passages.compared(x, y, 46)
+        assert any(s < len(around[0]) + n and e > len(around[0]) for s, e, *_ in found), (n, edits)
+        for s, e, p, q, j in found:
+            c, d = set(x[s:e].tolist()), set(y[p:q].tolist())
+            assert min(e - s, q - p) >= 46 and j == len(c & d) / len(c | d) >= 0.8
+    assert alike > 150
+
+
+def test_best_stretches_against_brute_force():
+    rnd = np.random.default_rng(8)
+    for _ in range(200):
+        found, width = rnd.random(rnd.integers(0, 40)) < 0.85, int(rnd.integers(1, 12))
+        sums = np.concatenate([[0], np.cumsum(np.where(found, 1, -4))])
+        best = max((sums[e] - sums[s] for s in range(len(sums)) for e in range(s + width, len(sums))), default=-1)
+        out = passages.best_stretches(found, width, 4)
+        assert bool(out) == (best >= 0) and all(e - s >= width and sums[e] - sums[s] >= 0 for s, e in out)
+        assert not out or sums[out[0][1]] - sums[out[0][0]] == best
+
+
 def test_shards(spark, corpus):
     rows = corpus + [(None, "x"), corpus[0]] + [(5000 + k, "same text of some length") for k in range(200)]
     df = frame(spark, rows).withColumns({
