@@ -113,6 +113,29 @@ def test_passages_with_edits():
     assert e - s >= 112 and q - p >= 110 and 0.9 < j < 1
 
 
+def test_passages_like_neither_partner(spark, monkeypatch):
+    """Versions of a passage, too different for links, two texts with each: whatever their order, all versions are found."""
+    monkeypatch.setattr(passages, "BLOCK", 5, raising=False)
+    rnd = random.Random(31)
+    word = lambda: str(rnd.randrange(10**9))
+    texts, kinds = [], []
+    for group in range(12):
+        base = [word() for _ in range(60)]
+        for version in range(8):
+            own = list(base)
+            own[6 * version + 5] = own[6 * version + 12] = word()
+            for _ in range(2):
+                texts.append(" ".join([word() for _ in range(20)] + own + [word() for _ in range(20)]))
+                kinds.append((group, version))
+    found = passages.repeated(frame(spark, list(enumerate(texts)))).collect()
+    linked = {frozenset((r["doc_id"], r["other_doc_id"])) for r in found}
+    pairs = [frozenset(i for i, x in enumerate(kinds) if x == kind) for kind in set(kinds)]
+    assert sum(p not in linked for p in pairs) == 0
+    for r in found:
+        a, b = texts[r["doc_id"]].split()[r["start"]:r["end"]], texts[r["other_doc_id"]].split()[r["other_start"]:r["other_end"]]
+        assert min(len(a), len(b)) >= 50 and models.similar(models.shingles(" ".join(a)), models.shingles(" ".join(b)))
+
+
 def test_short_passages_with_edits():
     rnd = random.Random(12)
     word = lambda: str(rnd.random())
