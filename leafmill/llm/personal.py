@@ -3,7 +3,8 @@
 The spans of the base patterns are seeds. The words before and after them become patterns; a pattern
 is scored by how much of what follows (or precedes) it in the whole corpus are known identifiers, an
 unknown identifier-like token by the patterns around it, and both in turn, over a table of
-(pattern, instance) edges. Tokens that sure patterns surround are added as spans of kind ``context``.
+(pattern, instance) edges. Neighbouring tokens of that kind are one instance. Those that sure patterns surround are added as
+spans of kind ``context``.
 All work is expressions, joins and aggregations of the JVM.
 """
 
@@ -31,8 +32,6 @@ _WORD = r"[^\x20\x09-\x0D]"
 TOKEN = rf"(?<!{_WORD}){_WORD}*?[0-9@]{_WORD}*+"
 #: Matches whose places are added up one by one; longer lists are handled in blocks of so many.
 BLOCK = 256
-#: Characters around a span in which its neighbouring words are looked for.
-REACH = 48
 
 
 def _literal(pattern: str) -> str:
@@ -45,27 +44,30 @@ def _find(text: str, pattern: str, need: str = "") -> Column:
     return F.when(F.contains(F.col(text), F.lit(need)), found).otherwise(F.array().cast("array<string>")) if need else found
 
 
-def _placed(text: str, pattern: str, matches: str) -> Column:
-    """Array of (at, len, value, before, after) of ``matches``, at counting code points of ``text``.
+def _placed(text: str, pattern: str, matches: str, gap: dict[str, str] | None = None) -> Column:
+    """Array of (at, len, value) of ``matches``, at counting code points of ``text``, and of the strings that ``gap`` names.
 
+    Those are expressions of ``i``, the number of the match, and ``gaps``, of which i stands before it and i + 1 behind it.
     Lengths of gaps and matches are added up within blocks, and blocks then shifted, so that
     the work grows with the number of matches and not with its square.
     """
+    gap = gap or {}
+    kind = f"array<struct<at: int, len: int, value: string{''.join(f', {k}: string' for k in gap)}>>"
+    made, kept = ("".join(f", {value} as {k}" for k, value in pairs) for pairs in (gap.items(), [(k, f"s.{k}") for k in gap]))
     return F.expr(f"""
-        case when size({matches}) = 0 then cast(array() as array<struct<at: int, len: int, value: string, before: string, after: string>>)
+        case when size({matches}) = 0 then cast(array() as {kind})
         else transform(array(split({text}, {_literal(pattern)}, -1)), gaps ->
             transform(array(transform(sequence(0, cast(ceil(size({matches}) / {BLOCK}) as int) - 1), b ->
                 aggregate(sequence(b * {BLOCK}, least((b + 1) * {BLOCK}, size({matches})) - 1),
-                    struct(0 as total, cast(array() as array<struct<at: int, len: int, value: string, before: string, after: string>>) as out),
+                    struct(0 as total, cast(array() as {kind}) as out),
                     (a, i) -> struct(
                         a.total + length(get(gaps, i)) + length(get({matches}, i)) as total,
                         concat(a.out, array(struct(
-                            a.total + length(get(gaps, i)) as at, length(get({matches}, i)) as len, get({matches}, i) as value,
-                            right(get(gaps, i), {REACH}) as before, left(get(gaps, i + 1), {REACH}) as after))) as out)))),
+                            a.total + length(get(gaps, i)) as at, length(get({matches}, i)) as len, get({matches}, i) as value{made}))) as out)))),
                 blocks -> transform(array(aggregate(blocks, cast(array(0) as array<int>),
                         (o, x) -> concat(o, array(get(o, size(o) - 1) + x.total)))),
                     shifts -> flatten(transform(blocks, (x, k) -> transform(x.out,
-                        s -> struct(s.at + get(shifts, k) as at, s.len as len, s.value as value, s.before as before, s.after as after)))))[0])[0])[0]
+                        s -> struct(s.at + get(shifts, k) as at, s.len as len, s.value as value{kept})))))[0])[0])[0]
         end""")
 
 
@@ -89,37 +91,56 @@ def _passes(kind: str) -> str:
 
 
 def _with_base(rows: DataFrame) -> DataFrame:
-    """Add ``base``: array of (start, k, end, value, left, right), ordered, k counting through ``KINDS``."""
+    """Add ``base``: array of (start, k, end, value), ordered, k counting through ``KINDS``."""
     rows = rows.withColumns({f"m_{k}": _find("text", BASE[k], NEEDS[k]) for k in KINDS})
     rows = rows.withColumns({f"p_{k}": _placed("text", BASE[k], f"m_{k}") for k in KINDS})
     parts = [f"""transform(filter(p_{kind}, s -> {_passes(kind)}),
-        s -> struct(s.at as start, {n} as k, s.at + s.len as end, s.value as value, {_neighbour('s.before', True)} as left, {_neighbour('s.after', False)} as right))"""
-             for n, kind in enumerate(KINDS)]
+        s -> struct(s.at as start, {n} as k, s.at + s.len as end, s.value as value))""" for n, kind in enumerate(KINDS)]
     return rows.withColumn("base", F.expr(f"sort_array(concat({', '.join(parts)}))")).drop(*[f"{p}_{k}" for k in KINDS for p in "mp"])
 
 
-def _neighbour(gap: str, last: bool) -> str:
-    """The last (or first) word of a gap in lower case, a run of digits as 0; empty at a text's end."""
-    pattern = rf"({_WORD}+){_BREAK}*$" if last else rf"^{_BREAK}*({_WORD}+)"
-    return f"lower(regexp_replace(regexp_extract({gap}, {_literal(pattern)}, 1), '[0-9]+', '0'))"
+def _word(gap: str, last: bool) -> str:
+    """The last (or first) word of a gap between tokens, or an empty string."""
+    pattern = rf"(?<!{_WORD})({_WORD}++){_BREAK}*+\z" if last else rf"^{_BREAK}*+({_WORD}++)"
+    return f"regexp_extract({gap}, {_literal(pattern)}, 1)"
+
+
+def _normal(word: str) -> str:
+    """A word in lower case, a run of digits as 0; empty for null."""
+    return f"lower(regexp_replace(coalesce({word}, ''), '[0-9]+', '0'))"
 
 
 def detected(docs: DataFrame) -> DataFrame:
-    """row, doc_id, base and candidates of all ``docs`` (doc_id, text), stored.
+    """row, doc_id, base and candidates of all ``docs`` (doc_id, text), stored; both with the words ``left`` and ``right`` of them.
 
-    ``candidates`` are tokens with a digit or an at sign that touch no base span.
+    ``candidates`` are tokens with a digit or an at sign that touch no base span, neighbouring ones as one. Since the first of several may be
+    the word that tells (as in ``type2 K81``), they also stand without it, with it as their left word; likewise the last. A base span's
+    words are those around the tokens it touches. Where no other word stands between two tokens, each is the other's word.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = _with_base(rows)
     rows = rows.withColumn("m_token", _find("text", TOKEN))
-    rows = rows.withColumn("p_token", _placed("text", TOKEN, "m_token"))
-    free = F.expr(f"""transform(filter(p_token, s -> not exists(base, b -> b.start < s.at + s.len and s.at < b.end)),
-        s -> struct(s.at as start, s.at + s.len as end, s.value as value, {_neighbour('s.before', True)} as left, {_neighbour('s.after', False)} as right))""")
-    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", free.alias("candidates")))
+    rows = rows.withColumn("p_token", _placed("text", TOKEN, "m_token", {
+        "before": _word("get(gaps, i)", True), "after": _word("get(gaps, i + 1)", False)}))
+    rows = rows.withColumn("tokens", F.expr(f"""transform(p_token, (s, i) -> struct(
+        i, s.at as start, s.at + s.len as end, s.value as value, i > 0 and s.before = '' as next,
+        {_normal("if(s.before = '', get(m_token, i - 1), s.before)")} as left, {_normal("if(s.after = '', get(m_token, i + 1), s.after)")} as right,
+        not exists(base, b -> b.start < s.at + s.len and s.at < b.end) as free))"""))
+    rows = rows.withColumn("heads", F.expr("filter(tokens, (t, i) -> t.free and not (t.next and get(tokens, i - 1).free))"))
+    rows = rows.withColumn("tails", F.expr("filter(tokens, (t, i) -> t.free and not coalesce(get(tokens, i + 1).next and get(tokens, i + 1).free, false))"))
+    joined = "array_join(slice(m_token, {0} + 1, {1} - {0} + 1), ' ')"
+    candidates = F.expr(f"""flatten(transform(heads, (h, k) -> transform(array(get(tails, k)), t -> if(h.i = t.i,
+        array(struct(h.start as start, t.end as end, h.value as value, h.left as left, t.right as right)),
+        array(struct(h.start as start, t.end as end, {joined.format("h.i", "t.i")} as value, h.left as left, t.right as right),
+              struct(get(tokens, h.i + 1).start as start, t.end as end, {joined.format("(h.i + 1)", "t.i")} as value, get(tokens, h.i + 1).left as left, '' as right),
+              struct(h.start as start, get(tokens, t.i - 1).end as end, {joined.format("h.i", "(t.i - 1)")} as value, '' as left, get(tokens, t.i - 1).right as right))))[0]))""")
+    base = F.expr("""transform(base, b -> transform(array(filter(tokens, t -> not t.free and b.start < t.end and t.start < b.end)), o -> struct(
+        b.start as start, b.k as k, b.end as end, b.value as value, get(o, 0).left as left, get(o, size(o) - 1).right as right))[0])""")
+    return stored(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", base.alias("base"), candidates.alias("candidates")))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word (as ``_neighbour`` writes it), total: how often it stands in all texts."""
+    """word (as ``_normal`` writes it), total: how often it stands in all texts."""
     words = F.explode(F.split(F.col("text"), _BREAK + "+")).alias("word")
     counts = docs.select(words).where("word != ''").groupBy("word").count()
     return counts.groupBy(F.expr("lower(regexp_replace(word, '[0-9]+', '0'))").alias("word")).agg(F.sum("count").alias("total"))

@@ -1,6 +1,7 @@
 """Operators that decide row by row, on small tables with every odd case."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -159,6 +160,39 @@ def test_personal_base_and_context(spark):
     assert personal.find(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
 
+def test_personal_context_takes_real_words(spark):
+    rnd = random.Random(9)
+    long = "reference" * 9 + ":"
+    seeds = [f"{before} u{k}@x.org then" for before in ("Phone:", "IDs:", "type2", long) for k in range(8)]
+    texts = ["Phone: 555 123 4567 call", "IDs: K77 K78\nK79", f"the {long} K80 end", "of type2 K81 here", "plain 77 word", "no 5 6 7"]
+    found = spans(personal.find(frame(spark, texts + seeds)).collect(), "personal")
+    assert [found[k] for k in range(len(texts))] == [
+        [("context", 7, 19)], [("context", 5, 16)], [("context", 4 + len(long) + 1, 4 + len(long) + 4)], [("context", 9, 12)], [], []]
+
+    parts = ["a", "B7", "8", "é9", "+1 (456) 555-2186", "u@x.org", "10.0.0.1", "(", "-", "4111 1111 1111 1111"]
+    texts = ["".join(rnd.choice(parts) + rnd.choice([" ", "  ", "\n"]) for _ in range(rnd.randint(0, 600 if k % 50 == 0 else 20))) for k in range(300)]
+    rows = {r["doc_id"]: r for r in personal.detected(frame(spark, texts)).collect()}
+    normal = lambda w: re.sub("[0-9]+", "0", w).lower()
+    for k, t in enumerate(texts):
+        words = [(m.start(), m.end(), m[0]) for m in models.WORD.finditer(t)]
+        base = models.personal(t)
+        free = [bool(re.search("[0-9@]", w)) and not any(s < e and b < f for _, s, f in base) for b, e, w in words]
+        side = lambda i: normal(words[i][2]) if 0 <= i < len(words) else ""  # noqa: E731, B023
+        want, i = [], 0
+        while i < len(words):
+            j = i
+            while j < len(words) and free[j]:
+                j += 1
+            if j > i:
+                for b, e, left, right in [(i, j, side(i - 1), side(j))] + [(i + 1, j, side(i), ""), (i, j - 1, "", side(j - 1))] * (j > i + 1):
+                    want.append((words[b][0], words[e - 1][1], " ".join(w for _, _, w in words[b:e]), left, right))
+            i = max(j, i + 1)
+        assert [(c["start"], c["end"], c["value"], c["left"], c["right"]) for c in rows[k]["candidates"]] == want
+        for c in rows[k]["base"]:
+            at = [n for n, (b, e, _) in enumerate(words) if b < c["end"] and c["start"] < e]
+            assert (c["left"], c["right"]) == (side(at[0] - 1), side(at[-1] + 1))
+
+
 def test_pieces(spark):
     rnd = random.Random(6)
     alphabet = " \n\t▁  abcThe éß€😀\x00\r<s>0x​́\xa0漢字▁"
