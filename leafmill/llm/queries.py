@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import contamination, jaccard, language, passages, personal, pieces, quality, rules, secret_scan, shards
+from leafmill.llm import centroids, contamination, jaccard, language, passages, personal, pieces, quality, rules, secret_scan, shards
 from leafmill.llm.common import table
 
 
@@ -76,5 +76,10 @@ def op10_pii(spark, folder):
     return found.select("doc_id", *span_columns(F.col("personal"), personal.KINDS))
 
 
+def op11_centroids(spark, folder):
+    """vec_id, cluster, distance, cluster_inertia, inertia, centroid_sha256."""
+    return centroids.cluster(table(spark, folder, "embeddings"), clusters=40, rounds=5)
+
+
 QUERIES = {name: f for name, f in list(globals().items()) if name.startswith("op")}
 ORACLES = {}
