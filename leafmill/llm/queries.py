@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from leafmill.llm import centroids, contamination, jaccard, language, passages, personal, pieces, quality, repair, rules, secret_scan, shards
+from leafmill.llm import centroids, contamination, jaccard, language, passages, personal, pieces, quality, repair, rules, secret_scan, shards, suffixes
 from leafmill.llm.common import table
 
 
@@ -81,6 +81,11 @@ def op11_centroids(spark, folder):
     return centroids.cluster(table(spark, folder, "embeddings"), clusters=40, rounds=5)
 
 
+def op12_suffixes(spark, folder):
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    return suffixes.deduplicated(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op13_repair(spark, folder):
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
     return repair.repaired(table(spark, folder, "conversations"))
