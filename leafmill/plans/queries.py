@@ -1,6 +1,8 @@
 """Every operator as a query over the sample tables: name -> (spark, folder) -> DataFrame."""
 
 import uuid
+
+import numpy as np
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,6 +11,7 @@ from leafmill.functions import entities as E, text as X, vectors as V
 from leafmill import schema
 from leafmill.operators import embedding as M, search as R, stats as A
 from leafmill.operators.approximate import search_approximate
+from leafmill.operators import ivf
 from leafmill.operators.chunking import chunk_elements
 from leafmill.operators.normalize import normalize_chunks
 from leafmill.operators.ordinals import with_batch, with_ordinal
@@ -262,6 +265,39 @@ def knn_approximate(spark, folder):
         C.vector_index(spark, folder), C.label_queries(spark, folder), 64, bits=6, radius=1))
 
 
+def _ivf_hits(spark, folder):
+    index = C.vector_index(spark, folder)
+    return ivf.search_ivf(index, C.label_queries(spark, folder), ivf.fit_cells(index), probes=ivf.PROBES, k=10)
+
+
+def knn_ivf(spark, folder):
+    """Ten nearest rows of each label's mean in its 24 nearest of 64 fitted cells."""
+    return _hits(_ivf_hits(spark, folder))
+
+
+def knn_ivf_recall(spark, folder):
+    """Per query: the share of the exact ten nearest rows that the cell search finds, and the share of
+    usable rows it reads."""
+    index = C.vector_index(spark, folder)
+    centroids = ivf.fit_cells(index)
+    queries = C.label_queries(spark, folder)
+    found = ivf.search_ivf(index, queries, centroids, probes=ivf.PROBES, k=10).select("query_id", "chunk_id")
+    exact = R.search_vector(index, queries, 10).select("query_id", "chunk_id")
+    hit = exact.join(found.withColumn("hit", F.lit(1)), ["query_id", "chunk_id"], "left")
+    recall = hit.groupBy("query_id").agg((F.count("hit") / F.count("*")).alias("recall"))
+    cells = ivf.with_cells(index, centroids).filter(F.col("cell").isNotNull())
+    q = queries.select("query_id", F.col("query_vector").cast("array<double>").alias("v")).collect()
+    probed = ivf.probe_order(np.array([r["v"] for r in q], float), centroids, ivf.PROBES) if q else []
+    per = spark.createDataFrame([(r["query_id"], int(c)) for r, cs in zip(q, probed) for c in cs],
+                                "query_id long, cell int")
+    sizes = cells.groupBy("cell").count()
+    total = cells.count()
+    read = per.join(sizes, "cell").groupBy("query_id").agg((F.sum("count") / F.lit(total)).alias("read_share"))
+    return recall.join(read, "query_id").select(
+        F.col("query_id").cast("bigint").alias("query_id"), F.round("recall", 6).alias("recall"),
+        F.round("read_share", 6).alias("read_share"))
+
+
 def hybrid_topk(spark, folder):
     queries = M.embed_queries(C.benchmark_queries(spark, folder))
     return _hits(R.search_hybrid(C.document_index(spark, folder), queries, 10, 0.4, 0.6))
@@ -449,7 +485,7 @@ QUERIES = {
         document_types, sanitize, file_size, stem_id, normalize_missing, entities_long,
         entity_counts, entity_totals, chunk_stats, chunk_stats_total, hash_embed, provider_embed,
         dim_check, attach_vectors, postings, bm25_topk, bm25_filtered, knn_topk, knn_filtered,
-        knn_min_score, knn_approximate, hybrid_topk, search_with_source, upsert_latest,
+        knn_min_score, knn_approximate, knn_ivf, knn_ivf_recall, hybrid_topk, search_with_source, upsert_latest,
         delete_document, resume_skip, merge_metadata, batch_ids, batch_sizes,
         ingest_conversations, index_stats, json_roundtrip, binary_scan, chunk_long,
         store_upsert_replace, store_delete, store_counts, run_manifest, zero_vectors, knn_many,
