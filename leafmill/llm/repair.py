@@ -43,7 +43,8 @@ def damaged(conversations: DataFrame) -> DataFrame:
         F.when(d == 4, F.lit("user")).otherwise(F.coalesce(F.col("role"), F.lit(" "))).alias("role"),
         F.when(d == 1, F.lit("")).when(d == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
         F.explode(F.when(d == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"))
-    rows = rows.withColumn("dropped", F.col("damage") == 0)
+    # one shuffle: every window below is clustered by conv_id already
+    rows = rows.withColumn("dropped", F.col("damage") == 0).repartition("conv_id")
     live = Window.partitionBy("conv_id", "dropped")
     order = live.orderBy(F.col("turn").asc_nulls_first(), "role", "text", "copy")
     last = F.regexp_extract("text", f"([^\\x20\\x09-\\x0D]){SPACE}*\\z", 1)
@@ -139,27 +140,46 @@ def _illegal(initials: list) -> int:
     return sum(1 for a, b in zip(initials, initials[1:]) if a + b not in ("su", "ua", "au"))
 
 
-def _gaps(turns: pd.Series) -> int:
-    t = turns.dropna()
-    return int(t.max() - t.min() + 1 - t.nunique()) if len(t) else 0
-
-
 SCHEMA = ("conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, "
           "audit string, repaired_sha256 string")
 
 
-def _conversation(group: pd.DataFrame) -> pd.DataFrame:
-    conv = group["conv_id"].iloc[0]
-    live = group[~group["dropped"]].sort_values("pos")
-    rows = list(zip(live["role"], live["text"], live["fault"]))
-    cost, audit, out = repair(rows)
-    faults = live["fault"].tolist()
+def _gaps_of(turns: list) -> int:
+    t = [x for x in turns if x is not None]
+    return max(t) - min(t) + 1 - len(set(t)) if t else 0
+
+
+def _result(conv, rows: list) -> tuple:
+    """rows: (turn, role, text, fault) of the live rows of one conversation, in order."""
+    cost, audit, out = repair([(r, t, f) for _, r, t, f in rows])
+    faults = [f for *_, f in rows]
     digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in out).encode()).hexdigest()
-    return pd.DataFrame([{
-        "conv_id": None if pd.isna(conv) else int(conv), "gaps": _gaps(live["turn"]),
-        "blank": faults.count(BLANK), "duplicate": faults.count(DUPLICATE), "truncated": faults.count(TRUNC),
-        "illegal": _illegal([r[:1] for r in live["role"]]), "cost": cost, "audit": audit, "repaired_sha256": digest,
-    }])
+    return (conv, _gaps_of([t for t, *_ in rows]), faults.count(BLANK), faults.count(DUPLICATE), faults.count(TRUNC),
+            _illegal([r[:1] for _, r, _, _ in rows]), cost, audit, digest)
+
+
+NAMES = ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+
+
+def _stream(batches):
+    """Conversations in a partition sorted by conv_id; one may go on into the next batch."""
+    conv, rows, seen = None, [], False
+    for pdf in batches:
+        out = []
+        ids = [None if pd.isna(x) else int(x) for x in pdf["conv_id"]]
+        turns = [None if pd.isna(x) else int(x) for x in pdf["turn"]]
+        for c, turn, role, text, dropped, fault in zip(ids, turns, pdf["role"], pdf["text"], pdf["dropped"],
+                                                        pdf["fault"]):
+            if seen and c != conv:
+                out.append(_result(conv, rows))
+                rows = []
+            conv, seen = c, True
+            if not dropped:
+                rows.append((turn, role, text, int(fault)))
+        if out:
+            yield pd.DataFrame(out, columns=NAMES)
+    if seen:
+        yield pd.DataFrame([_result(conv, rows)], columns=NAMES)
 
 
 def repaired(conversations: DataFrame) -> DataFrame:
@@ -171,4 +191,5 @@ def repaired(conversations: DataFrame) -> DataFrame:
     its text, which no split could produce.
     """
     rows = damaged(conversations.select("conv_id", "turn", "role", "text"))
-    return rows.groupBy("conv_id").applyInPandas(_conversation, SCHEMA)
+    ordered = rows.sortWithinPartitions(F.col("conv_id").asc_nulls_first(), "dropped", "pos")
+    return ordered.select("conv_id", "turn", "role", "text", "dropped", "fault").mapInPandas(_stream, SCHEMA)
