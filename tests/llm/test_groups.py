@@ -136,6 +136,61 @@ def test_passages_like_neither_partner(spark, monkeypatch):
         assert min(len(a), len(b)) >= 50 and models.similar(models.shingles(" ".join(a)), models.shingles(" ".join(b)))
 
 
+def test_passages_join_chains_across_classes(spark, monkeypatch):
+    """Versions of a passage, each like the one before and after it only: one class, in whatever order texts meet."""
+    monkeypatch.setattr(passages, "BLOCK", 3)
+    rnd = random.Random(41)
+    word = lambda: str(rnd.randrange(10**9))
+    texts, group_of = [], []
+    for group in range(15):
+        own = [word() for _ in range(60)]
+        for version in range(6):
+            if version:
+                own = list(own)
+                own[6 + 8 * version] = word()
+            texts.append(" ".join([word() for _ in range(20)] + own + [word() for _ in range(20)]))
+            group_of.append(group)
+    found = passages.repeated(frame(spark, list(enumerate(texts)))).collect()
+    parent = list(range(len(texts)))
+
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+
+    for r in found:
+        assert group_of[r["doc_id"]] == group_of[r["other_doc_id"]]
+        parent[root(r["doc_id"])] = root(r["other_doc_id"])
+    assert [len({root(k) for k in range(len(texts)) if group_of[k] == g}) for g in range(15)] == [1] * 15
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_class_links_join_what_all_pairs_join(split):
+    rnd = np.random.default_rng(5)
+    for _ in range(20):
+        base = rnd.integers(0, 2**32, 60).astype(np.uint32)
+        contexts = []
+        for _ in range(50):
+            own = base.copy()
+            own[rnd.integers(0, 60, rnd.integers(0, 8))] = rnd.integers(0, 2**32)
+            contexts.append(own)
+        nodes, classes = rnd.integers(0, 30, 50), rnd.integers(0, 6, 50)
+        cells = rnd.integers(3, 5, 50) if split else None
+
+        def joined(pairs):
+            parent = {("class", c): ("class", c) for c in classes.tolist()}
+            root = lambda k: k if parent[k] == k else root(parent[k])
+            for i, j in pairs:
+                parent[root(("class", int(classes[i])))] = root(("class", int(classes[j])))
+            return [root(("class", c)) for c in classes.tolist()]
+
+        same = lambda roots: [[a == b for b in roots] for a in roots]
+        pairs = [(i, j) for i in range(50) for j in range(i) if nodes[i] != nodes[j] and classes[i] != classes[j]
+                 and (not split or cells[i] != cells[j]) and passages.compared(contexts[i], contexts[j], 46)]
+        found = passages.class_links(nodes, contexts, classes, cells, 46)
+        assert all((i, j) in pairs or (j, i) in pairs for i, j in found) and same(joined(found)) == same(joined(pairs))
+
+
 def test_short_passages_with_edits():
     rnd = random.Random(12)
     word = lambda: str(rnd.random())
