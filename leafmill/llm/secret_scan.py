@@ -333,7 +333,8 @@ def fit_field(docs: DataFrame, sample: int = 500) -> Field | None:
     ends = last_picks(texts, "likely", sample)
     if True not in ends:
         return None
-    chosen = texts.where((F.col("likely") & (F.col("pick") <= ends[True])) | (~F.col("likely") & (F.col("pick") <= F.lit(ends.get(False)).cast("long"))))
+    # The pattern is only tried on texts whose hash is small enough for either part.
+    chosen = texts.where(((F.col("pick") <= ends[True]) & F.col("likely")) | ((F.col("pick") <= F.lit(ends.get(False)).cast("long")) & ~F.col("likely")))
     windows = chosen.dropDuplicates(["pick"]).select("text").mapInArrow(_windows, "features array<array<string>>, tags array<int>")
     rows = windows.groupBy(F.lit(0).alias("model")).applyInPandas(_fit, "features array<string>, weights array<double>, moves array<double>").collect()
     if not rows:
