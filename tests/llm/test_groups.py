@@ -165,7 +165,8 @@ def test_passages_join_chains_across_classes(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("split", [False, True])
-def test_class_links_join_what_all_pairs_join(split):
+def test_class_links_join_what_all_pairs_join(split, monkeypatch):
+    monkeypatch.setattr(passages, "EACH", 0)
     rnd = np.random.default_rng(5)
     for _ in range(20):
         base = rnd.integers(0, 2**32, 60).astype(np.uint32)
@@ -189,6 +190,9 @@ def test_class_links_join_what_all_pairs_join(split):
                  and (not split or cells[i] != cells[j]) and passages.compared(contexts[i], contexts[j], 46)]
         found = passages.class_links(nodes, contexts, classes, cells, 46)
         assert all((i, j) in pairs or (j, i) in pairs for i, j in found) and same(joined(found)) == same(joined(pairs))
+        monkeypatch.setattr(passages, "EACH", 50)
+        assert {frozenset(p) for p in passages.class_links(nodes, contexts, classes, cells, 46)} == {frozenset(p) for p in pairs}
+        monkeypatch.setattr(passages, "EACH", 0)
 
 
 def test_short_passages_with_edits():
