@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,3 +250,40 @@ def test_shards(spark, corpus):
     by_bytes = shards.shard(df, target_bytes=20_000)
     assert by_bytes.groupBy("shard").agg(F.sum("size").alias("s")).agg(F.max("s")).first()[0] <= 20_000 + 2 * largest
     assert shards.shard(spark.createDataFrame([], "doc_id long, text string, lang string, source string"), shards=3).collect() == []
+
+
+def test_small_batches_hold_while_sets_are_compared(spark, monkeypatch):
+    """Sets of two texts a row go to Python in batches of 8 MB, and the session's size is as before afterwards."""
+    key, seen, stored = "spark.sql.execution.arrow.maxBytesPerBatch", [], jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df: (seen.append(spark.conf.get(key)), stored(df))[1])
+    before = spark.conf.get(key)
+    texts = [" ".join(f"w{k}" for k in range(40)), " ".join(f"w{k}" for k in range(39))]
+    found = jaccard.join(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["component_id"] for r in found] == [0, 0]
+    assert "8m" in seen and spark.conf.get(key) == before
+
+
+def test_pairs_of_groups_however_batched():
+    """Small groups go through one leaf each, large ones through a tree; batches may cut groups anywhere."""
+    rnd = np.random.default_rng(4)
+    kind = pa.struct([("sig", pa.int64()), ("n", pa.int32())])
+    rows = []
+    for token, (size, other) in enumerate([(1, 0), (2, 0), (9, 1), (32, 0), (33, 0), (70, 1)]):
+        for _ in range(size):
+            values = rnd.choice(60, 50, replace=False).astype(np.uint64) << np.uint64(20)
+            rows.append({"token": token, "node": {"sig": len(rows), "n": 50}, "pos": int(rnd.integers(0, 6)), "part": {"sig": int(rnd.integers(0, 3)), "n": 50},
+                         "cell": int(rnd.integers(0, other + 1)), "block": 0, "other": other, "point": jaccard.point(values).tobytes()})
+    expected = set()
+    for j, y in enumerate(rows):
+        for i, x in enumerate(rows[:j]):
+            if x["token"] == y["token"] and x["part"] != y["part"] and (not x["other"] or x["cell"] != y["cell"]):
+                p, q = (np.frombuffer(r["point"], np.uint32) for r in (x, y))
+                if min(50 - x["pos"], 50 - y["pos"]) >= 45 <= np.minimum(p, q).sum():
+                    expected.add((i, j))
+    assert expected
+    schema = pa.schema([("token", pa.int64()), ("node", kind), ("pos", pa.int32()), ("part", kind), ("cell", pa.int32()),
+                        ("block", pa.int32()), ("other", pa.int32()), ("point", pa.binary())])
+    for size in (1, 5, 1000):
+        batches = [pa.RecordBatch.from_pylist(rows[k:k + size], schema=schema) for k in range(0, len(rows), size)]
+        got = [tuple(sorted((r["a"]["sig"], r["b"]["sig"]))) for b in jaccard._joined(iter(batches)) for r in b.to_pylist()]
+        assert len(got) == len(set(got)) and set(got) == expected
