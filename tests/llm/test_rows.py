@@ -4,11 +4,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from leafmill.llm import contamination, language, personal, pieces, quality, queries, rules, secret_scan
+from leafmill.llm import common, contamination, language, personal, pieces, quality, queries, rules, secret_scan
 from tests.llm import models
 
 ODD = [None, "", " ", "\n\n", "A.", "é" * 40, "word " * 3000, "x" * 5000]
@@ -238,3 +239,16 @@ def test_span_columns(spark):
     df = spark.createDataFrame([(1, [("a", 0, 2), ("crf", 3, 5)])], "doc_id long, s array<struct<kind: string, start: int, end: int>>")
     row = df.select(*queries.span_columns(F.col("s"), ("a", "b"))).first()
     assert (row["n_a"], row["n_b"], row["spans"]) == (1, 0, "a:0:2,crf:3:5")
+
+
+def test_wide_rows_are_worked_on_in_parts(spark, monkeypatch):
+    """Of a batch of many long texts a task holds results for a few only, in the order of the rows."""
+    texts = [f"{k} " * 1000 for k in range(400)] + [None, "x" * 3_000_000, ""]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    parts = list(common.in_parts([batch, batch.slice(0, 0)], 100_000))
+    assert [t for p in parts for t in p.column(0).to_pylist()] == texts
+    assert max(p.nbytes for p in parts[:20]) < 200_000
+    monkeypatch.setattr(common, "PART_BYTES", 100_000)
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    found = common.appended(df, "most int", lambda: lambda held: [[len(held)] * len(held)], ["text"]).collect()
+    assert [r["text"] for r in found] == texts and max(r["most"] for r in found) < 400
