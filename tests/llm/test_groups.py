@@ -287,3 +287,50 @@ def test_pairs_of_groups_however_batched():
         batches = [pa.RecordBatch.from_pylist(rows[k:k + size], schema=schema) for k in range(0, len(rows), size)]
         got = [tuple(sorted((r["a"]["sig"], r["b"]["sig"]))) for b in jaccard._joined(iter(batches)) for r in b.to_pylist()]
         assert len(got) == len(set(got)) and set(got) == expected
+
+
+def test_passages_send_words_of_regions_only(spark, monkeypatch):
+    """What moves for the comparison are texts and words of regions, not all token hashes; a text of many regions is dealt to several tasks."""
+    monkeypatch.setattr(passages, "MANY", 3)
+    rnd = random.Random(51)
+    prose = lambda n: " ".join(str(rnd.randrange(10**9)) for _ in range(n))
+    shared = prose(70)
+    texts = [f"{prose(30)}\t{shared.upper()}  {prose(300)}" for _ in range(20)]
+    found = passages.repeated(frame(spark, list(enumerate(texts)))).collect()
+    assert {i for r in found for i in (r["doc_id"], r["other_doc_id"])} == set(range(20))
+    for r in found:
+        a, b = models.words(texts[r["doc_id"]])[r["start"]:r["end"]], models.words(texts[r["other_doc_id"]])[r["other_start"]:r["other_end"]]
+        a, b = (models.shingles(" ".join(w)) for w in (a, b))
+        assert len(a & b) / len(a | b) == r["similarity"] >= 0.8
+    batch = pa.RecordBatch.from_pylist(
+        [{**dict.fromkeys(passages._REGION), "side": -1, "text": b"a b\n c d e f g h"},
+         {"a": 1, "b": 2, "a_from": 1, "a_to": 3, "b_from": 0, "b_to": 9, "side": 0, "text": None},
+         {"a": 0, "b": 1, "a_from": 5, "a_to": 6, "b_from": 2, "b_to": 9, "side": 1, "text": None},
+         {"a": 0, "b": 1, "a_from": 5, "a_to": 6, "b_from": 9, "b_to": 12, "side": 1, "text": None}],
+        schema=pa.schema([*[(k, pa.int64()) for k in passages._REGION], ("side", pa.int32()), ("text", pa.binary())]))
+    assert [w for b in passages._cut(iter([batch.slice(0, 2), batch.slice(2)])) for w in b.column("words").to_pylist()] == [b"b\n c d e f g", b"c d e f g h", b""]
+
+
+def test_groups_covered_by_their_first_text_are_not_opened(spark, monkeypatch):
+    """Of windows whose pair with the first text covers them nothing goes on to the classes; of others the group does."""
+    seen, classes = [], passages._keyed
+    monkeypatch.setattr(passages, "_keyed", lambda bits: (seen.append(int(bits.any())), classes(bits))[1])
+    rnd = random.Random(61)
+    prose = lambda n: " ".join(str(rnd.randrange(10**9)) for _ in range(n))
+    shared, few = prose(80), prose(24)
+    passages.repeated(spark.createDataFrame([(k, f"{shared}") for k in range(3)] + [(9, f"{shared} x")], "doc_id long, text string")).collect()
+    passages.repeated(spark.createDataFrame([(k, f"{prose(50)} {few} {prose(50)}") for k in range(40)], "doc_id long, text string")).collect()
+    assert seen == [0, 1]
+
+
+def test_compared_as_with_plain_sets():
+    """Similarities are those of the shingle sets, also of repeated tokens and equal texts."""
+    rnd = np.random.default_rng(9)
+    for _ in range(100):
+        x = rnd.integers(0, 2**63, 90).astype(np.uint64)[rnd.integers(0, 90, 120)]
+        y = np.delete(x, rnd.integers(0, 120, rnd.integers(0, 9)))
+        for s, e, p, q, j in passages.compared(x, y, 46):
+            a, b = set(x[s:e].tolist()), set(y[p:q].tolist())
+            assert j == len(a & b) / len(a | b) >= 0.8 and min(e - s, q - p) >= 46
+    assert passages.compared(x, x.copy(), 46) == [(0, 120, 0, 120, 1.0)]
+    assert passages.compared(x[:45], x[:45].copy(), 46) == []
