@@ -11,16 +11,18 @@ more bytes than the input has, and a global table has no size bound to broadcast
 """
 
 import re
+from itertools import accumulate, chain, pairwise
 
+import numpy as np
 import sentencepiece
 from pyspark.sql import DataFrame
 
 from leafmill.llm.common import appended
 
 MARK = "▁"
-#: Entries of a task's table, and the longest chunk kept in it; longer ones are segmented where they stand.
+#: Entries of a task's table in its two halves, and the longest chunk kept in it; longer ones are segmented where they stand.
 TABLE_SIZE, TABLE_CHUNK = 250_000, 64
-#: Characters of a text that are cut into chunks at once.
+#: Characters of texts that are cut into chunks at once.
 BLOCK = 1 << 18
 
 
@@ -31,7 +33,7 @@ def default_model() -> str:
 
 
 class ChunkTable:
-    """Ids (little-endian unsigned 32-bit) and decoded text of every chunk met so far."""
+    """Ids (little-endian unsigned 32-bit) of the chunks met so far; a text is decoded from its ids, a block at a time."""
 
     def __init__(self, proto: bytes):
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
@@ -44,55 +46,75 @@ class ChunkTable:
         self.chunk = re.compile(f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|{alone}" if alone else ""))
         self.cut = re.compile(f"(?<=[^{MARK}]){MARK}")
         self.mark = sp.piece_to_id(MARK)
+        self.more = self.mark.to_bytes(4, "little")
         self.begin, self.end = (i.to_bytes(4, "little") if i >= 0 else b"" for i in (sp.bos_id(), sp.eos_id()))
+        self.lead = len(sp.encode("\n"))
         self.ids: dict[str, bytes] = {}
-        self.texts: dict[str, str] = {}
+        self.older: dict[str, bytes] = {}
 
-    def _segment(self, chunks: list[str]) -> list[tuple[bytes, str]]:
+    def _segment(self, chunks: list[str]) -> list[bytes]:
         """The encoder puts one marker before what it gets: leave one away, or take it off again."""
         whole = [c[1:] if c[0] == MARK else "\n" + c for c in chunks]
         out = []
         for chunk, ids in zip(chunks, self.sp.encode(whole, num_threads=1), strict=True):
-            if chunk[0] != MARK:
-                ids = ids[len(self.sp.encode("\n")):]
-            elif not ids:
-                ids = [self.mark]
-            # One marker more in front, since the decoder drops the first.
-            text = self.sp.decode([self.mark, *ids])
-            out.append((b"".join(i.to_bytes(4, "little") for i in ids), text))
-        return out
-
-    def _look_up(self, chunks: list[str]) -> tuple[list[bytes], list[str]]:
-        new = {*chunks}.difference(self.ids)
-        if new:
-            if len(self.ids) + len(new) > TABLE_SIZE:
-                self.ids.clear()
-                self.texts.clear()
-                new = {*chunks}
-            new = list(new)
+            out.append((ids or [self.mark]) if chunk[0] == MARK else ids[self.lead:])
+        stops = list(accumulate(map(len, out), initial=0))
+        data = np.fromiter(chain.from_iterable(out), "<u4", stops[-1]).tobytes()
+        return [data[4 * a:4 * b] for a, b in pairwise(stops)]
+
+    def _look_up(self, chunks: list[str]) -> list[bytes]:
+        found = list(map(self.ids.get, chunks))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
+            # What was met again since the table was last full stays; the rest is forgotten when it is full again.
+            wanted = {c: self.older.get(c) for c in map(chunks.__getitem__, missing)}
+            new = [c for c, ids in wanted.items() if ids is None]
             for at in range(0, len(new), 4096):
                 part = new[at:at + 4096]
-                for chunk, (ids, text) in zip(part, self._segment(part), strict=True):
-                    self.ids[chunk], self.texts[chunk] = ids, text
-        found = list(map(self.ids.__getitem__, chunks)), list(map(self.texts.__getitem__, chunks))
-        for chunk in [c for c in new if len(c) > TABLE_CHUNK]:
-            del self.ids[chunk], self.texts[chunk]
+                wanted.update(zip(part, self._segment(part), strict=True))
+            for k in missing:
+                found[k] = wanted[chunks[k]]
+            kept = {c: ids for c, ids in wanted.items() if len(c) <= TABLE_CHUNK}
+            if len(self.ids) + len(kept) > TABLE_SIZE // 2:
+                self.older, self.ids = self.ids, {}
+            self.ids.update(kept)
         return found
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """Ids with begin and end, and what they decode to."""
-        ids, texts = [self.begin], []
-        marked = MARK + text.replace(" ", MARK) if text else ""
-        at = 0
-        while at < len(marked):
-            after = self.cut.search(marked, at + BLOCK) if at + BLOCK < len(marked) else None
-            stop = after.start() if after else len(marked)
-            a, b = self._look_up(self.chunk.findall(marked, at, stop))
-            ids += a
-            texts += b
-            at = stop
-        ids.append(self.end)
-        return b"".join(ids), "".join(texts)[1:]
+    def _blocks(self, texts: list[str | None]):
+        """Row and chunks of each block, so that no block but one of a long chunk is much over ``BLOCK`` characters."""
+        for row, text in enumerate(texts):
+            marked = MARK + text.replace(" ", MARK) if text else ""
+            at = 0
+            while at < len(marked):
+                after = self.cut.search(marked, at + BLOCK) if at + BLOCK < len(marked) else None
+                stop = after.start() if after else len(marked)
+                yield row, stop - at, self.chunk.findall(marked, at, stop)
+                at = stop
+
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[str]]:
+        """Ids with begin and end of each text, and what they decode to."""
+        ids, decoded = [[self.begin] for _ in texts], [[] for _ in texts]
+        held, chunks, size = [], [], 0
+
+        def done():
+            found = self._look_up(chunks)
+            for row, start, stop in held:
+                part = b"".join(found[start:stop])
+                ids[row].append(part)
+                # One marker more in front, since the decoder drops the first.
+                decoded[row].append(self.sp.decode(np.frombuffer(self.more + part, "<i4")))
+
+        # New chunks of many short texts are segmented in one call.
+        for row, length, block in self._blocks(texts):
+            if held and size + length > BLOCK:
+                done()
+                held, chunks, size = [], [], 0
+            held.append((row, len(chunks), len(chunks) + len(block)))
+            chunks += block
+            size += length
+        if held:
+            done()
+        return [b"".join([*parts, self.end]) for parts in ids], ["".join(parts)[1:] for parts in decoded]
 
 
 def encode(docs: DataFrame, model: str | None = None, text: str = "text") -> DataFrame:
@@ -108,10 +130,6 @@ def encode(docs: DataFrame, model: str | None = None, text: str = "text") -> Dat
     def start():
         table = ChunkTable(proto)
 
-        def work(texts):
-            found = [table.encode(t) for t in texts]
-            return [f[0] for f in found], [f[1] for f in found]
-
-        return work
+        return table.encode
 
     return appended(docs, "ids binary, decoded string", start, [text])

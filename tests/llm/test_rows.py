@@ -205,6 +205,32 @@ def test_pieces(spark):
         assert np.frombuffer(found[k]["ids"], "<u4").tolist() == ids and found[k]["decoded"] == sp.decode(ids)
 
 
+def test_new_chunks_of_many_texts_are_segmented_in_one_call(monkeypatch):
+    """The library is called a few times for many short texts, and once per text to decode; a full table gives the same ids."""
+    with open(pieces.default_model(), "rb") as file:
+        proto = file.read()
+    sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
+    texts = [f"word{k} both{k % 7}\nlast{k}x " for k in range(400)] + [None, "", "\n"]
+    calls = {"encode": 0, "decode": 0}
+
+    class Counted:
+        def __getattr__(self, name):
+            if name in calls:
+                calls[name] += 1
+            return getattr(sp, name)
+
+    for size in (pieces.TABLE_SIZE, 40):
+        monkeypatch.setattr(pieces, "TABLE_SIZE", size)
+        table = pieces.ChunkTable(proto)
+        table.sp = Counted()
+        for part in (texts, texts[::-1]):
+            calls.update(encode=0, decode=0)
+            ids, decoded = table.encode(part)
+            want = [sp.encode(t or "", add_bos=True, add_eos=True) for t in part]
+            assert [np.frombuffer(i, "<u4").tolist() for i in ids] == want and decoded == [sp.decode(i) for i in want]
+            assert calls["encode"] <= 1 and calls["decode"] <= len(part)
+
+
 def test_contamination(spark, prose):
     rnd = random.Random(7)
     items = prose["one"][:20] + ["too few", "", None, prose["one"][0]]
