@@ -334,3 +334,21 @@ def test_compared_as_with_plain_sets():
             assert j == len(a & b) / len(a | b) >= 0.8 and min(e - s, q - p) >= 46
     assert passages.compared(x, x.copy(), 46) == [(0, 120, 0, 120, 1.0)]
     assert passages.compared(x[:45], x[:45].copy(), 46) == []
+
+
+def test_classes_of_texts_that_repeat_themselves_are_compared_only_where_they_may_link(monkeypatch):
+    """Contexts with few different tokens share one of them, but only those that share most of a stretch are compared."""
+    cycles = [[0] + [100 * k + i for i in range(1, 30)] for k in range(40)]
+    cycles[21] = [*cycles[20][:29], 7777]
+    cycles[31] = cycles[30][::-1]
+    contexts = [np.array((c * 5)[:123], np.uint32) for c in cycles]
+    some = np.arange(40)
+    calls, plain = [], passages.compared
+    want = [(i, j) for i in range(40) for j in range(i + 1, 40) if plain(contexts[i], contexts[j], 46)]
+    monkeypatch.setattr(passages, "compared", lambda *a: calls.append(1) or plain(*a))
+    assert passages.class_links(some, contexts, some, None, 46) == want == [(20, 21), (30, 31)]
+    assert len(calls) <= 4
+    rnd = np.random.default_rng(0)
+    for _ in range(300):
+        x, width = rnd.integers(0, rnd.integers(1, 12), rnd.integers(1, 40)).astype(np.uint32), int(rnd.integers(1, 15))
+        assert passages.fewest(x, width) == min([len({*x[s:s + width].tolist()}) for s in range(len(x) - width + 1)] or [len({*x.tolist()})])
