@@ -352,3 +352,68 @@ def test_classes_of_texts_that_repeat_themselves_are_compared_only_where_they_ma
     for _ in range(300):
         x, width = rnd.integers(0, rnd.integers(1, 12), rnd.integers(1, 40)).astype(np.uint32), int(rnd.integers(1, 15))
         assert passages.fewest(x, width) == min([len({*x[s:s + width].tolist()}) for s in range(len(x) - width + 1)] or [len({*x.tolist()})])
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_class_links_of_many_candidates_are_all_pairs(split):
+    """Also where candidates are many, each pair of similar contexts is a link, not only those that join classes."""
+    rnd = np.random.default_rng(3)
+    base = rnd.integers(0, 2**32, 60).astype(np.uint32)
+    contexts = []
+    for k in range(60):
+        own = base.copy()
+        own[k % 20] = rnd.integers(0, 2**32)
+        contexts.append(own)
+    contexts[40:] = contexts[:20]
+    some, cells = np.arange(60), np.arange(60) % 2 + 4 if split else None
+    found = passages.class_links(some, contexts, some, cells, 46)
+    assert len(found) == len({frozenset(p) for p in found}) == (900 if split else 60 * 59 // 2)
+    # A class below 0 is of windows of several classes.
+    mixed = np.array([-1] * 2 + [7] * 58)
+    assert len(passages.class_links(some, contexts, mixed, None, 46)) == 1 + 2 * 58
+
+
+def test_windows_of_a_text_that_repeats_itself_are_one_run():
+    """What a word that is repeated gives is one stretch of tokens, not one for each place, and windows apart are runs of their own."""
+    rnd = random.Random(71)
+    prose = lambda n: " ".join(str(rnd.randrange(10**9)) for _ in range(n))
+    again = " ".join(["again"] * 80)
+    text = f"{prose(150)} {again} {prose(400)} {again} {prose(150)}"
+    every = np.full(passages.FILTER_BITS // 64, ~np.uint64(0))
+    batch = pa.RecordBatch.from_pydict({"text": [text]})
+    rows = [r for b in passages._contexts(1, 46, 61, every)(iter([batch])) for r in b.to_pylist()]
+    tokens = passages.text_shingles(text.encode())
+    l, c, r = passages.compact_windows(tokens, 0, 46)
+    assert sum(tokens[c] == tokens[150]) > 40
+    key = int(passages.mixed(tokens[150:151] ^ passages._FACTORS[0]).view(np.int64)[0])
+    runs = [r for r in rows if r["key"] == key]
+    assert len(runs) == 2 and len(rows) < len(c)
+    for row in runs:
+        around = np.frombuffer(row["tokens"], np.uint32)
+        assert row["low"] == row["first"] - 61 and len(around) == row["last"] - row["first"] + 123
+        assert (around == tokens[row["low"]:row["low"] + len(around)].astype(np.uint32)).all() and row["left"] <= row["low"]
+    assert passages.run_starts(np.array([3, 125, 247, 370, 371]), 61).tolist() == [0, 3]
+    # The alignment of stretches of different lengths drifts in small steps, and covers both whole.
+    for s, e, p, q in [(0, 50, 9, 59), (0, 50, 100, 400), (70, 320, 5, 60)]:
+        places = passages.places_met(s, e, p, q)
+        shifts = [y - x for x, y in places]
+        assert places[0] == (s, p) and max(map(abs, np.diff(shifts)), default=0) <= passages.DRIFT
+        assert e - s == q - p or places[-1] == (e - 1, q - 1)
+
+
+def test_passages_of_texts_that_repeat_words_link_all_classes(spark):
+    """Texts around a repeated word, none alike but there, are linked each with each across classes."""
+    rnd = random.Random(81)
+    prose = lambda n: " ".join(str(rnd.randrange(10**9)) for _ in range(n))
+    texts = [f"{prose(70)} {' '.join([word] * rnd.randint(60, 140))} {prose(70)}" for word in ("one", "two") for _ in range(8)]
+    found = passages.repeated(frame(spark, list(enumerate(texts)))).collect()
+    linked = {frozenset((r["doc_id"], r["other_doc_id"])) for r in found}
+    parent = list(range(16))
+    root = lambda k: k if parent[k] == k else root(parent[k])
+    for a, b in map(tuple, linked):
+        assert a // 8 == b // 8
+        parent[root(a)] = root(b)
+    assert len({root(k) for k in range(16)}) == 2
+    for r in found:
+        a, b = texts[r["doc_id"]].split()[r["start"]:r["end"]], texts[r["other_doc_id"]].split()[r["other_start"]:r["other_end"]]
+        assert min(len(a), len(b)) >= 50 and models.similar(models.shingles(" ".join(a)), models.shingles(" ".join(b)))
