@@ -417,3 +417,21 @@ def test_passages_of_texts_that_repeat_words_link_all_classes(spark):
     for r in found:
         a, b = texts[r["doc_id"]].split()[r["start"]:r["end"]], texts[r["other_doc_id"]].split()[r["other_start"]:r["other_end"]]
         assert min(len(a), len(b)) >= 50 and models.similar(models.shingles(" ".join(a)), models.shingles(" ".join(b)))
+
+
+def test_contexts_agree_place_by_place():
+    """Rows that agree in enough of some 46 places are similar there, and one pair of stretches is enough for windows with centres."""
+    rnd = np.random.default_rng(13)
+    rows = rnd.permutation(10**6)[:4 * 123].astype(np.uint64).reshape(4, 123)
+    rows[1, 20:66] = rows[0, 20:66]
+    rows[1, [30, 40, 50, 60, 65]] += np.uint64(10**7)
+    rows[2, 20:66] = rows[1, 20:66]
+    rows[2, 22] += np.uint64(10**8)
+    assert passages.agree(rows, np.array([0, 0, 1, 0]), np.array([1, 2, 2, 3]), 46).tolist() == [True, False, True, False]
+    contexts, centres = [*rows, np.roll(rows[0], 7)], np.array([61, 61, 61, 61, 54])
+    some = np.arange(5)
+    found = [(i, j) for i, j, _ in passages.class_stretches(some, contexts, some, None, 46, centres)]
+    assert found == passages.class_links(some, contexts, some, None, 46) == [(0, 1), (0, 4), (1, 2), (1, 4)]
+    for i, j in found:
+        one, = passages.compared(contexts[i], contexts[j], 46, True)[:1]
+        assert one in passages.compared(contexts[i], contexts[j], 46)
